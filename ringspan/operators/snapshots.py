@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ringspan.functions.time import SNAPSHOT_DELAY_S, SNAPSHOT_SIZE_S, bucket, overlaps, started_in
@@ -15,11 +15,12 @@ from ringspan.operators.running import accumulate
 _SECONDS_PER_CELL = 65_536
 
 
-def _range_columns(wm, size_s: int, delay_s: int):
+def _range_columns(wm: Column, size_s: int, delay_s: int) -> list[Column]:
+    wm = wm.cast("long")
     return [
-        wm.cast("long").alias("trigger_time"),
-        ((wm - size_s) * 1000).cast("long").alias("window_start_ms"),
-        ((wm - delay_s) * 1000).cast("long").alias("window_end_ms"),
+        wm.alias("trigger_time"),
+        ((wm - size_s) * 1000).alias("window_start_ms"),
+        ((wm - delay_s) * 1000).alias("window_end_ms"),
     ]
 
 

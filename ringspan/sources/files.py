@@ -27,8 +27,10 @@ def _read(spark: SparkSession, path: str, schema: StructType, mode: str) -> Data
     return spark.read.schema(schema).option("header", True).option("mode", mode).csv(path)
 
 
-def _as_text(schema: StructType) -> StructType:
-    return StructType([StructField(f.name, StringType()) for f in schema])
+def _read_text(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """All fields as strings. Header lines stay in; they do not parse as records."""
+    text = StructType([StructField(f.name, StringType()) for f in schema])
+    return spark.read.schema(text).option("header", False).csv(path)
 
 
 def _typed(schema: StructType) -> list[Column]:
@@ -51,7 +53,7 @@ def read_calls(
         return _read(spark, path, schema, "DROPMALFORMED")
     if bad != "parse":
         raise ValueError(f"bad={bad!r}; one of null, drop, parse")
-    text = _read(spark, path, _as_text(schema), "PERMISSIVE")
+    text = _read_text(spark, path, schema)
     no_caller = F.coalesce(F.col("caller"), F.lit("")) == ""
     return (
         text.withColumn("_no_caller", no_caller)
@@ -79,8 +81,7 @@ def read_events(
     elif bad == "drop":
         raw = _read(spark, path, schema, "DROPMALFORMED")
     elif bad == "parse":
-        text = _read(spark, path, _as_text(schema), "PERMISSIVE")
-        raw = text.select(*_typed(schema)).where(
+        raw = _read_text(spark, path, schema).select(*_typed(schema)).where(
             F.col("event_type").isNotNull() & F.col(_FILE_EVENT_TIME).isNotNull()
         )
     else:
