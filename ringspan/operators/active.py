@@ -7,14 +7,17 @@ ordered and filled out. Work per call does not grow with its length, and no wind
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ringspan.functions.time import FIVE_MINUTES_MS, HALF_MINUTE_MS, bucket, floor_to, to_timestamp
 from ringspan.operators.expand import cover_windows, explode_range, spread_cover
-from ringspan.operators.pairing import repeated_events, single_pairs
+from ringspan.operators.pairing import is_end, is_start
 from ringspan.operators.running import SLICE_MS, accumulate
-from ringspan.schema import END, START
+from ringspan.operators.skew import split_hot
+from ringspan.schema import START
 
 # Windows ordered by one task when totals run across windows (34 hours of half-minutes).
 _WINDOWS_PER_CELL = 4096
@@ -56,7 +59,7 @@ def active_distinct(calls: DataFrame, window_ms: int = HALF_MINUTE_MS) -> DataFr
         "unique_id",
         bucket("start_ts", window_ms).alias("_first"),
         bucket("end_ts", window_ms).alias("_last"),
-    )
+    ).where("_first <= _last")
     blocks = explode_range(spans, bucket(first, _BITS), bucket(last, _BITS), 1, "block")
     lo = F.greatest(first - F.col("block") * _BITS, F.lit(0)).cast("int")
     hi = F.least(last - F.col("block") * _BITS, F.lit(_BITS - 1)).cast("int")
@@ -92,7 +95,10 @@ def active_calls(calls: DataFrame, window_ms: int = HALF_MINUTE_MS) -> DataFrame
 
 
 def active_pairs(
-    events: DataFrame, window_ms: int = HALF_MINUTE_MS, slice_ms: int = SLICE_MS
+    events: DataFrame,
+    window_ms: int = HALF_MINUTE_MS,
+    hot_ids: Sequence | None = None,
+    slice_ms: int = SLICE_MS,
 ) -> DataFrame:
     """Start/end pairs (rule ``all_after``) overlapping each window, without forming the pairs.
 
@@ -100,36 +106,49 @@ def active_pairs(
     starts. Both are running totals, so an id with *m* starts and *n* ends costs *m + n* rows.
     """
     signals = events.where(
-        "unique_id is not null and event_ts is not null and event_type in (0, 1)"
-    ).select("unique_id", "event_type", "event_ts", F.lit(None).cast("long").alias("caller"))
-    single = _edges(
-        single_pairs(signals).where("end_ts > start_ts"), window_ms, F.lit(1).cast("long")
+        (is_start() | is_end()) & F.col("unique_id").isNotNull() & F.col("event_ts").isNotNull()
+    ).select("unique_id", "event_ts", "event_type")
+    ordinary, hot = split_hot(signals, "unique_id", hot_ids)
+
+    # Of equal times the ends come first: a pair needs an end strictly after its start.
+    by_id = Window.partitionBy("unique_id").orderBy("event_ts", F.desc("event_type"))
+    upto = by_id.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = by_id.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranked = ordinary.select(
+        "event_ts",
+        is_start().cast("long").alias("starts"),
+        is_end().cast("long").alias("ends"),
+        F.count_if(is_start()).over(upto).alias("starts_before"),
+        (F.count_if(is_end()).over(whole) - F.count_if(is_end()).over(upto)).alias("ends_after"),
     )
-    points = (
-        repeated_events(signals)
-        .groupBy("unique_id", "event_ts")
-        .agg(
-            F.count_if(F.col("event_type") == START).alias("starts"),
-            F.count_if(F.col("event_type") == END).alias("ends"),
+    if hot is not None:
+        # Fold equal times on the map side, then take the totals slice by slice.
+        points = hot.groupBy("unique_id", "event_ts").agg(
+            F.count_if(is_start()).alias("starts"), F.count_if(is_end()).alias("ends")
+        )
+        sliced = accumulate(points, "event_ts", ["starts", "ends"], slice_ms, by=["unique_id"])
+        ranked = ranked.unionByName(
+            sliced.select(
+                "event_ts",
+                "starts",
+                "ends",
+                (F.col("starts_upto") - F.col("starts")).alias("starts_before"),
+                (F.col("ends_total") - F.col("ends_upto")).alias("ends_after"),
+            )
         )
-    )
-    ranked = accumulate(points, "event_ts", ["starts", "ends"], slice_ms, by=["unique_id"])
     window = floor_to("event_ts", window_ms)
-    repeated = ranked.select(
+    edges = ranked.select(
         F.inline(
             F.array(
-                F.struct(
-                    window.alias("at"),
-                    (F.col("starts") * (F.col("ends_total") - F.col("ends_upto"))).alias("delta"),
-                ),
+                F.struct(window.alias("at"), (F.col("starts") * F.col("ends_after")).alias("delta")),
                 F.struct(
                     (window + window_ms).alias("at"),
-                    (-F.col("ends") * (F.col("starts_upto") - F.col("starts"))).alias("delta"),
+                    (-F.col("ends") * F.col("starts_before")).alias("delta"),
                 ),
             )
         )
-    )
-    return _fill_active(single.unionByName(repeated), window_ms)
+    ).where("delta <> 0")
+    return _fill_active(edges, window_ms)
 
 
 def active_interval_rows(calls: DataFrame, window_ms: int = HALF_MINUTE_MS) -> DataFrame:
@@ -173,7 +192,7 @@ def starts_per_window(
 
     On a stream, ``delay`` sets the watermark on the event time.
     """
-    starts = events.where(F.col("event_type") == START).withColumn(
+    starts = events.where(is_start()).withColumn(
         "event_time", to_timestamp("event_ts")
     )
     if delay is not None:

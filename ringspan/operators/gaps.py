@@ -2,126 +2,159 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ringspan.functions.time import IDLE_LAG_MS, IDLE_MINUTE_MS, bucket, gap_passes
 from ringspan.operators.expand import repeat_rows
 from ringspan.operators.running import SLICE_MS, nearest_later
+from ringspan.operators.skew import split_hot
+from ringspan.session import materialize
 
 
 def idle_next_start(
     calls: DataFrame,
     threshold_ms: int = IDLE_MINUTE_MS,
     inclusive: bool = False,
+    hot_callers: Sequence | None = None,
     slice_ms: int = SLICE_MS,
 ) -> DataFrame:
     """For each call, the wait until the same caller's next start strictly after its end.
 
-    ``caller, PrevEnd, NextStart, IdleGap``, a row per call and per tied next start. Equal times of
-    one caller are first folded into one row with counts, so a slice of a caller is bounded by its
-    milliseconds, however hot the caller; the counts are turned back into rows at the end.
+    ``caller, PrevEnd, NextStart, IdleGap``, a row per call and per tied next start: starts and ends
+    of a caller are put in one order, in which every end looks ahead to the next start. No two calls
+    are ever joined.
     """
-    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
-    points = (
+    endpoints = (
         calls.where("caller is not null")
         .select(
             "caller",
             F.inline(
                 F.array(
-                    F.struct(F.col("start_ts").alias("t"), one.alias("starts"), none.alias("ends")),
-                    F.struct(F.col("end_ts").alias("t"), none.alias("starts"), one.alias("ends")),
+                    F.struct(F.col("start_ts").alias("t"), F.lit(True).alias("start")),
+                    F.struct(F.col("end_ts").alias("t"), F.lit(False).alias("start")),
                 )
             ),
         )
         .where("t is not null")
-        .groupBy("caller", "t")
-        .agg(F.sum("starts").alias("starts"), F.sum("ends").alias("ends"))
     )
-    waits = nearest_later(
-        points, "caller", "t", F.col("starts") > 0, F.col("ends") > 0, ["t", "starts"], slice_ms
+    ordinary, hot = split_hot(endpoints, "caller", hot_callers)
+
+    # Latest first; of equal times the ends come first and so do not see the starts they tie with.
+    latest = Window.partitionBy("caller").orderBy(F.desc("t"), "start")
+    upto = latest.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    tied = F.row_number().over(latest) - F.rank().over(latest) + 1
+    waits = (
+        ordinary.withColumn("tied", tied)
+        .select(
+            "caller",
+            "t",
+            "start",
+            F.last(F.when(F.col("start"), F.col("t")), ignorenulls=True).over(upto).alias("next_t"),
+            F.last(F.when(F.col("start"), F.col("tied")), ignorenulls=True)
+            .over(upto)
+            .alias("copies"),
+        )
+        .where("not start")
+        .drop("start")
     )
+    if hot is not None:
+        # Equal times fold into one row on the map side: a slice is bounded by its milliseconds.
+        points = hot.groupBy("caller", "t").agg(
+            F.count_if("start").alias("starts"), F.count_if(~F.col("start")).alias("ends")
+        )
+        sliced = nearest_later(
+            points, "caller", "t", F.col("starts") > 0, F.col("ends") > 0, ["t", "starts"], slice_ms
+        )
+        waits = waits.unionByName(
+            sliced.select(
+                "caller", "t", "next_t", (F.col("ends") * F.col("next_starts")).alias("copies")
+            )
+        )
     gap = F.col("next_t") - F.col("t")
-    return repeat_rows(
-        waits.where(gap_passes(gap, threshold_ms, inclusive)).select(
-            "caller",
-            F.col("t").alias("PrevEnd"),
-            F.col("next_t").alias("NextStart"),
-            gap.alias("IdleGap"),
-            (F.col("ends") * F.col("next_starts")).alias("_copies"),
-        ),
-        F.col("_copies"),
-    ).drop("_copies")
+    gaps = waits.where(gap_passes(gap, threshold_ms, inclusive)).select(
+        "caller",
+        F.col("t").alias("PrevEnd"),
+        F.col("next_t").alias("NextStart"),
+        gap.alias("IdleGap"),
+        "copies",
+    )
+    return repeat_rows(gaps, F.col("copies")).drop("copies")
 
 
 def idle_lag(
     calls: DataFrame,
     threshold_ms: int = IDLE_LAG_MS,
     inclusive: bool = True,
+    hot_callers: Sequence | None = None,
     slice_ms: int = SLICE_MS,
 ) -> DataFrame:
     """For each call, the time since the end of the same caller's previous call by start.
 
     ``caller, prev_end, start_ts, idle_ms``. Calls with equal starts follow each other by end, open
     ends first.
+    """
+    ordinary, hot = split_hot(calls.select("caller", "start_ts", "end_ts"), "caller", hot_callers)
+    by_start = Window.partitionBy("caller").orderBy("start_ts", "end_ts")
+    idle = F.col("start_ts") - F.col("prev_end")
+    gaps = (
+        ordinary.withColumn("prev_end", F.lag("end_ts").over(by_start))
+        .where(gap_passes(idle, threshold_ms, inclusive))
+        .select("caller", "prev_end", "start_ts", idle.alias("idle_ms"))
+    )
+    if hot is None:
+        return gaps
+    return gaps.unionByName(_idle_lag_sliced(hot, threshold_ms, inclusive, slice_ms))
+
+
+def _idle_lag_sliced(
+    calls: DataFrame, threshold_ms: int, inclusive: bool, slice_ms: int
+) -> DataFrame:
+    """``idle_lag`` slice by slice, each slice starting from the last call of the slice before.
 
     Of the calls that begin at one instant only the first can follow a gap, unless a sibling had
-    already ended ``threshold_ms`` before that instant (an inverted record). So siblings are folded
-    into one row with a count, and only inverted ones keep their own.
+    already ended ``threshold_ms`` before that instant (an inverted record). So siblings fold into
+    one row with a count on the map side, and only inverted ones keep their own.
     """
     long_ended = gap_passes(F.col("start_ts") - F.col("end_ts"), threshold_ms, inclusive)
+    order = ["start_ts", "kind", "own_gap"]
+    keys = ["caller", "_slice"]
     folded = (
         calls.withColumns(
             {
                 # 0 open end, 1 inverted, 2 ordinary: the order of siblings by end.
                 "kind": F.when(F.col("end_ts").isNull(), 0).when(long_ended, 1).otherwise(2),
                 "own_gap": F.when(long_ended, F.col("end_ts")),
-                # Unknown callers form one group, as in PARTITION BY; the flag keeps joins plain.
-                "unknown": F.col("caller").isNull(),
-                "caller": F.coalesce("caller", F.lit(0).cast("long")),
             }
         )
-        .groupBy("unknown", "caller", "start_ts", "kind", "own_gap")
+        .groupBy("caller", *order)
         .agg(F.count("*").alias("n"), F.max("end_ts").alias("last_end"))
     )
-    who, order = ["unknown", "caller"], ["start_ts", "kind", "own_gap"]
-    keys = [*who, "_slice"]
-    sliced = folded.withColumn("_slice", bucket("start_ts", slice_ms)).repartition(*keys)
+    sliced = materialize(folded, "siblings").withColumn("_slice", bucket("start_ts", slice_ms))
 
     inside = Window.partitionBy(*keys).orderBy(*order)
     local = sliced.select(
-        "*",
-        F.lag("last_end").over(inside).alias("_lag"),
-        F.row_number().over(inside).alias("_row"),
+        "*", F.lag("last_end").over(inside).alias("_lag"), F.row_number().over(inside).alias("_row")
     )
-    # The whole last row of each slice, so that both branches read one shuffle.
-    last = F.max(F.struct(*order, "last_end", "n")).alias("last")
-    carry = (
-        sliced.groupBy(*keys)
-        .agg(last)
-        .select(
-            *keys,
-            F.lag("last.last_end").over(Window.partitionBy(*who).orderBy("_slice")).alias("_carry"),
-        )
-        .where("_carry is not null")
-    )
-    joined = local.join(carry, keys, "left").select(
-        F.when(~F.col("unknown"), F.col("caller")).alias("caller"),
+    last = sliced.groupBy(*keys).agg(F.max(F.struct(*order, "last_end")).alias("last"))
+    before = F.lag("last.last_end").over(Window.partitionBy("caller").orderBy("_slice"))
+    carry = last.select(*keys, before.alias("_carry")).where("_carry is not null")
+
+    first = F.when(F.col("_row") == 1, F.col("_carry")).otherwise(F.col("_lag"))
+    candidates = local.join(carry, keys, "left").select(
+        "caller",
         "start_ts",
         F.inline(
             F.array(
-                F.struct(
-                    F.when(F.col("_row") == 1, F.col("_carry"))
-                    .otherwise(F.col("_lag"))
-                    .alias("prev_end"),
-                    F.lit(1).cast("long").alias("_copies"),
-                ),
+                F.struct(first.alias("prev_end"), F.lit(1).cast("long").alias("_copies")),
                 F.struct(F.col("own_gap").alias("prev_end"), (F.col("n") - 1).alias("_copies")),
             )
         ),
     )
     idle = F.col("start_ts") - F.col("prev_end")
-    gaps = joined.where(gap_passes(idle, threshold_ms, inclusive)).select(
+    gaps = candidates.where(gap_passes(idle, threshold_ms, inclusive)).select(
         "caller", "prev_end", "start_ts", idle.alias("idle_ms"), "_copies"
     )
     return repeat_rows(gaps, F.col("_copies")).drop("_copies")

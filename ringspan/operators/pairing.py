@@ -5,23 +5,30 @@ Three pairing rules:
 ``all``         every end of the same id, whatever the order;
 ``all_after``   every end strictly after the start;
 ``first_after`` the earliest end strictly after the start, NULL when there is none.
-
-Nearly every id has exactly one start and one end. Those are paired by one hash aggregation, without a
-join or a sort. Only ids that repeat (or are broken) take the general way. Where there are none, its
-join side is empty at run time and adaptive execution drops the branch.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ringspan.operators.running import SLICE_MS, nearest_later
+from ringspan.operators.skew import split_hot
 from ringspan.schema import END, START
 
 RULES = ("all", "all_after", "first_after")
 
 
+def is_start() -> Column:
+    return F.col("event_type") == START
+
+
+def is_end() -> Column:
+    return F.col("event_type") == END
+
+
 def calls_to_events(calls: DataFrame) -> DataFrame:
     """One call row to a start and an end event; other columns are kept."""
     rest = [c for c in calls.columns if c not in ("start_ts", "end_ts")]
@@ -32,77 +39,68 @@ def calls_to_events(calls: DataFrame) -> DataFrame:
     return calls.select(*rest, F.inline(endpoints))
 
 
-def _starts(events: DataFrame) -> DataFrame:
-    return events.where(F.col("event_type") == START).select(
-        "unique_id", "caller", F.col("event_ts").alias("start_ts")
-    )
-
-
-def _ends(events: DataFrame) -> DataFrame:
-    return events.where(F.col("event_type") == END).select(
-        "unique_id", F.col("event_ts").alias("end_ts")
-    )
-
-
-def _is(event_type: int):
-    return F.col("event_type") == event_type
-
-
-def single_pairs(events: DataFrame) -> DataFrame:
-    """``unique_id, caller, start_ts, end_ts`` of the ids with one start and at most one end."""
-    per_id = events.groupBy("unique_id").agg(
-        F.count_if(_is(START)).alias("starts"),
-        F.count_if(_is(END)).alias("ends"),
-        F.max(F.when(_is(START), F.col("caller"))).alias("caller"),
-        F.max(F.when(_is(START), F.col("event_ts"))).alias("start_ts"),
-        F.max(F.when(_is(END), F.col("event_ts"))).alias("end_ts"),
-    )
-    return per_id.where("starts = 1 and ends <= 1")
-
-
-def repeated_events(events: DataFrame) -> DataFrame:
-    """The events of ids that have a start and are not covered by ``single_pairs``."""
-    counts = events.groupBy("unique_id").agg(
-        F.count_if(_is(START)).alias("starts"), F.count_if(_is(END)).alias("ends")
-    )
-    repeated = counts.where("starts >= 1 and not (starts = 1 and ends <= 1)").select("unique_id")
-    return events.join(repeated, "unique_id", "left_semi")
-
-
-def pair_calls(events: DataFrame, rule: str = "first_after", slice_ms: int = SLICE_MS) -> DataFrame:
+def pair_calls(
+    events: DataFrame,
+    rule: str = "first_after",
+    hot_ids: Sequence | None = None,
+    slice_ms: int = SLICE_MS,
+) -> DataFrame:
     """``unique_id, caller, start_ts, end_ts`` under one of the three rules.
 
-    ``all`` and ``all_after`` return every matching pair, which is what they mean; counts over pairs
-    (``active_pairs``) do not go through them.
+    ``all`` and ``all_after`` return every matching pair, as an equi join; counts over pairs
+    (``active_pairs``) do not go through them. ``first_after`` looks ahead in one ordered pass and
+    never forms a pair it does not return.
     """
     if rule not in RULES:
         raise ValueError(f"unknown pairing rule {rule!r}; one of {RULES}")
-    signals = events.where(_is(START) | _is(END)).select(
+    if rule == "first_after":
+        return _pair_first_after(events, hot_ids, slice_ms)
+    starts = events.where(is_start()).select(
+        "unique_id", "caller", F.col("event_ts").alias("start_ts")
+    )
+    ends = events.where(is_end()).select("unique_id", F.col("event_ts").alias("end_ts"))
+    pairs = starts.join(ends, "unique_id")
+    return pairs.where("end_ts > start_ts") if rule == "all_after" else pairs
+
+
+def _pair_first_after(events: DataFrame, hot_ids: Sequence | None, slice_ms: int) -> DataFrame:
+    signals = events.where(is_start() | is_end()).select(
         "unique_id", "event_type", "caller", "event_ts"
     )
-    keyed = signals.where("unique_id is not null")
-    singles = single_pairs(keyed)
-    repeated = repeated_events(keyed)
-    columns = ["unique_id", "caller", "start_ts", "end_ts"]
+    ordinary, hot = split_hot(signals.where("unique_id is not null"), "unique_id", hot_ids)
 
-    if rule == "first_after":
-        one = singles.withColumn("end_ts", F.expr("if(end_ts > start_ts, end_ts, null)"))
-        many = nearest_later(
-            repeated, "unique_id", "event_ts", _is(END), _is(START), ["event_ts"], slice_ms
-        ).select(
-            "unique_id",
-            "caller",
-            F.col("event_ts").alias("start_ts"),
-            F.col("next_event_ts").alias("end_ts"),
+    # Latest first; of equal times the starts come first and so do not see the ends they tie with.
+    ahead = (
+        Window.partitionBy("unique_id")
+        .orderBy(F.desc("event_ts"), "event_type")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    next_end = F.last(F.when(is_end(), F.col("event_ts")), ignorenulls=True).over(ahead)
+    paired = ordinary.withColumn("next_event_ts", next_end).where(is_start())
+    if hot is not None:
+        # Look ahead once per distinct time of an id, then give the answer to every start there.
+        points = hot.groupBy("unique_id", "event_ts").agg(
+            F.max(is_start()).alias("has_start"), F.max(is_end()).alias("has_end")
         )
-        # A start without an id matches nothing but is still a start.
-        loose = _starts(signals.where("unique_id is null")).withColumn(
-            "end_ts", F.lit(None).cast("long")
+        ahead_of = nearest_later(
+            points.where("event_ts is not null"),
+            "unique_id",
+            "event_ts",
+            F.col("has_end"),
+            F.col("has_start"),
+            ["event_ts"],
+            slice_ms,
+        ).select("unique_id", "event_ts", "next_event_ts")
+        paired = paired.unionByName(
+            hot.where(is_start()).join(ahead_of, ["unique_id", "event_ts"], "left")
         )
-        return one.select(columns).unionByName(many).unionByName(loose)
-
-    one = singles.where("ends = 1")
-    many = _starts(repeated).join(_ends(repeated), "unique_id")
-    if rule == "all_after":
-        one, many = one.where("end_ts > start_ts"), many.where("end_ts > start_ts")
-    return one.select(columns).unionByName(many.select(columns))
+    # A start without an id matches nothing but is still a start.
+    loose = signals.where(F.col("unique_id").isNull() & is_start()).withColumn(
+        "next_event_ts", F.lit(None).cast("long")
+    )
+    return paired.unionByName(loose).select(
+        "unique_id",
+        "caller",
+        F.col("event_ts").alias("start_ts"),
+        F.expr("if(event_ts is null, null, next_event_ts)").alias("end_ts"),
+    )

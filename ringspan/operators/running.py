@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ringspan.functions.time import bucket
+from ringspan.session import materialize
 
 # 6 h: at one row per key and millisecond a cell holds at most 21.6 million rows, and a key has at
 # most 1461 cells a year.
@@ -25,10 +26,11 @@ def accumulate(
     """Add to each row, in ``at`` order (per ``by``), for every value column ``v``:
 
     ``v_upto`` the running total including the row, ``v_total`` the grand total; and ``next_at``, the
-    next row's ``at``. ``(by, at)`` must be unique and ``at`` a bigint.
+    next row's ``at``. ``(by, at)`` must be unique and ``at`` a bigint: an aggregate, which is written
+    to the work folder because the totals per cell and the totals inside a cell both read it.
     """
     keys = [*by, "_cell"]
-    cells = rows.withColumn("_cell", bucket(at, cell)).repartition(*[F.col(k) for k in keys])
+    cells = materialize(rows, "running").withColumn("_cell", bucket(at, cell))
 
     sums = cells.groupBy(*keys).agg(
         *[F.sum(v).alias(v) for v in values], F.min(at).alias("_first")
@@ -69,11 +71,10 @@ def nearest_later(
     """Rows where ``ask`` holds, each with the ``take`` columns (prefixed ``next_``) of the nearest
     row of the same key with a strictly later ``at`` where ``mark`` holds; NULL where there is none.
 
-    The ``take`` columns must not be NULL on marked rows. Where ``take``, ``mark`` and ``ask`` read
-    every column of ``rows``, Spark shares one shuffle between the two branches.
+    ``(key, at)`` must be unique and the ``take`` columns not NULL on marked rows. Like ``accumulate``
+    this works on an aggregate and writes it first.
     """
-    wanted = {c: F.when(mark, F.col(c)) for c in take}
-    sliced = rows.withColumn("_slice", bucket(at, slice_ms)).repartition(key, "_slice")
+    sliced = materialize(rows, "slices").withColumn("_slice", bucket(at, slice_ms))
 
     firsts = sliced.groupBy(key, "_slice").agg(
         *[F.min_by(c, F.when(mark, F.col(at))).alias(c) for c in take], F.max(ask).alias("_asked")
@@ -94,15 +95,15 @@ def nearest_later(
         .drop("_asked")
     )
 
-    # Descending order with a range frame that stops one millisecond short: ties never see each other.
     ahead = (
         Window.partitionBy(key, "_slice")
         .orderBy(F.desc(at))
-        .rangeBetween(Window.unboundedPreceding, -1)
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    local = sliced.select(
-        "*", *[F.last(v, ignorenulls=True).over(ahead).alias(f"_near_{c}") for c, v in wanted.items()]
-    ).where(ask)
+    near = [
+        F.last(F.when(mark, F.col(c)), ignorenulls=True).over(ahead).alias(f"_near_{c}") for c in take
+    ]
+    local = sliced.select("*", *near).where(ask)
     return local.join(carry, [key, "_slice"], "left").select(
         *rows.columns, *[F.coalesce(f"_near_{c}", f"_far_{c}").alias(f"next_{c}") for c in take]
     )

@@ -1,0 +1,45 @@
+"""Finding keys too large to be ordered by one task.
+
+Per-key ordering (windows by caller or by call id) shuffles once and is the fastest plan for ordinary
+keys, but it puts all rows of a key into one task. The operators therefore treat hot keys apart, on a
+plan that cuts them along time. Both plans are exact, so the choice of keys affects speed only.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A key with more rows than this is hot: one task orders a couple of million rows in seconds.
+HOT_ROWS = 2_000_000
+# At most so many keys are treated apart, largest first. Any other key then has fewer than
+# 1/20000 of the rows.
+MAX_HOT_KEYS = 20_000
+_FRACTION = 0.001
+
+
+def hot_keys(df: DataFrame, key: str, rows: int = HOT_ROWS) -> list:
+    """The hot values of ``key``, from a 0.1 % sample of that one column.
+
+    Runs a job: a scan of the key column, and a shuffle of the sample's counts. A key of ``rows`` rows
+    has some 2000 rows in the sample, half of which suffice to be listed.
+    """
+    counts = df.select(key).where(F.col(key).isNotNull()).sample(_FRACTION, seed=11).groupBy(key).count()
+    hot = counts.where(F.col("count") > rows * _FRACTION / 2).orderBy(F.desc("count"))
+    return [row[0] for row in hot.limit(MAX_HOT_KEYS).collect()]
+
+
+def split_hot(
+    df: DataFrame, key: str, hot: Sequence | None = None
+) -> tuple[DataFrame, DataFrame | None]:
+    """``df`` without its hot keys, and the rest (None if there are no hot keys).
+
+    The keys are literals in both plans, so a recomputed task can never see a different split.
+    """
+    keys = hot_keys(df, key) if hot is None else list(hot)
+    if not keys:
+        return df, None
+    is_hot = F.coalesce(F.col(key).isin(keys), F.lit(False))
+    return df.where(~is_hot), df.where(is_hot)

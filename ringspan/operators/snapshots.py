@@ -79,10 +79,7 @@ def watermark_snapshots(
         (F.col("wm").cast("long") - delay_s - 1).alias("second"), F.lit(0).cast("long").alias("delta")
     )
     totals = accumulate(
-        steps.groupBy("second").agg(F.sum("delta").alias("delta"))
-        .unionByName(probes)
-        .groupBy("second")
-        .agg(F.sum("delta").alias("delta")),
+        steps.unionByName(probes).groupBy("second").agg(F.sum("delta").alias("delta")),
         "second",
         ["delta"],
         _SECONDS_PER_CELL,

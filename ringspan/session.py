@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library relies on; everything else is left to the cluster.
 SETTINGS = {
@@ -43,3 +43,14 @@ def work_folder(spark: SparkSession, name: str) -> str:
         root = tempfile.mkdtemp(prefix="ringspan-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` below the shared work folder and read it back.
+
+    Used where two branches of a plan need the same aggregate: it is computed once, its lineage ends
+    here, and a lost executor costs a re-read. Only aggregates pass through it, never input rows.
+    """
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

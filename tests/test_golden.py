@@ -1,0 +1,130 @@
+from pyspark.sql import functions as F
+
+from ringspan.operators import active, gaps, pairing, snapshots
+from tests.fixtures import B, CALLER, bag, golden_calls, golden_events
+
+
+def relative(df, keys=("WindowStart", "ActiveCalls")):
+    return sorted((row[keys[0]] - B, row[keys[1]]) for row in df.collect())
+
+
+def gap_rows(df):
+    return sorted((r[0] - CALLER, r[1] - B, r[2] - B, r[3]) for r in df.collect())
+
+
+def test_active_distinct(spark):
+    assert relative(active.active_distinct(golden_calls(spark))) == [
+        (0, 2), (60_000, 1), (90_000, 1), (120_000, 2), (150_000, 1), (240_000, 2), (270_000, 1),
+        (300_000, 1), (990_000, 1),
+    ]
+
+
+def test_active_pairs(spark):
+    assert relative(active.active_pairs(golden_events(spark))) == [
+        (0, 2), (30_000, 2), (60_000, 2), (90_000, 1), (120_000, 2), (150_000, 1), (240_000, 1),
+        (270_000, 1), (300_000, 1), (990_000, 1),
+    ]
+    assert relative(active.active_pairs(golden_events(spark), 300_000)) == [
+        (-180_000, 5), (120_000, 3), (720_000, 1),
+    ]
+
+
+def test_starts(spark):
+    assert sorted(map(tuple, active.starts_by_window_id(golden_calls(spark)).collect())) == [
+        (5880266, 3), (5880267, 4), (5880269, 1),
+    ]
+    events = golden_events(spark).withColumn("rate_ts", F.timestamp_millis("event_ts"))
+    starts = active.starts_per_window(events).select(
+        F.unix_millis("window_start").alias("w"), "start_event_count"
+    )
+    assert relative(starts, ("w", "start_event_count")) == [
+        (0, 3), (30_000, 1), (60_000, 1), (120_000, 2), (240_000, 2), (990_000, 1),
+    ]
+
+
+def test_deltas_and_open(spark):
+    opened = active.open_at_window_end(active.window_deltas(golden_events(spark)))
+    rows = sorted(
+        (r["window_start_ms"] - B, r["delta_sum"], r["count"], r["max_ts"] - B, r["max_type"])
+        for r in opened.collect()
+    )
+    assert rows == [
+        (0, 0, 0, 29_999, "delta"), (30_000, 0, 0, 50_000, "delta"), (60_000, 0, 0, 80_000, "delta"),
+        (90_000, -1, -1, 95_000, "delta"), (120_000, 1, 0, 140_000, "delta"),
+        (150_000, -1, -1, 150_000, "delta"), (240_000, 1, 0, 240_000, "delta"),
+        (300_000, -1, -1, 301_000, "delta"), (990_000, 0, -1, 1_005_000, "delta"),
+    ]
+
+
+def test_first_after(spark):
+    pairs = pairing.pair_calls(golden_events(spark), "first_after").collect()
+    got = {r["unique_id"]: None if r["end_ts"] is None else r["end_ts"] - B for r in pairs}
+    assert got == {
+        1: 29_999, 2: 150_000, 3: 140_000, 4: None, 5: 301_000, 6: 20_000, 7: 95_000, 8: 1_005_000,
+        9: None, 11: 50_000,
+    }
+    assert len(pairs) == len(got)
+
+
+def test_idle_next(spark):
+    expected = [
+        (1, 29_999, 120_000, 90_001), (1, 140_000, 240_000, 100_000), (1, 140_000, 240_000, 100_000),
+        (1, 150_000, 240_000, 90_000), (1, 150_000, 240_000, 90_000), (2, 95_000, 1_000_000, 905_000),
+    ]
+    bi = pairing.pair_calls(golden_events(spark), "first_after")
+    assert gap_rows(gaps.idle_next_start(golden_calls(spark))) == expected
+    assert gap_rows(gaps.idle_next_start(bi)) == expected
+    assert gap_rows(gaps.idle_next_start(bi, 900_000)) == [(2, 95_000, 1_000_000, 905_000)]
+
+
+def test_idle_next_inclusive(spark):
+    strict = bag(gaps.idle_next_start(golden_calls(spark), 60_000))
+    inclusive = bag(gaps.idle_next_start(golden_calls(spark), 60_000, inclusive=True))
+    assert inclusive - strict == {(CALLER + 2, B + 20_000, B + 80_000, 60_000): 1}
+
+
+def test_idle_lag(spark):
+    expected = [
+        (1, 29_999, 120_000, 90_001), (1, 140_000, 240_000, 100_000), (2, 20_000, 80_000, 60_000),
+        (2, 95_000, 1_000_000, 905_000),
+    ]
+    bi = pairing.pair_calls(golden_events(spark), "all")
+    assert gap_rows(gaps.idle_lag(golden_calls(spark))) == expected
+    assert gap_rows(gaps.idle_lag(bi)) == expected
+
+
+def test_snapshots(spark):
+    wm = (B + 180_000) // 1000
+    calls = golden_calls(spark).withColumn("rate_ts", F.timestamp_millis("end_ts"))
+    (overlap,) = snapshots.snapshot_overlap(calls, wm).collect()
+    assert tuple(overlap) == (2, wm, B + 140_000, B + 170_000)
+    (started,) = snapshots.snapshot_started(calls, wm).collect()
+    assert tuple(started) == (0, None, wm, B + 140_000, B + 170_000)
+    marks = spark.createDataFrame([(wm,), (wm - 35,)], "wm long")
+    got = {r["trigger_time"]: r["active_calls_count"] for r in snapshots.watermark_snapshots(calls, marks).collect()}
+    assert got == {wm: 2, wm - 35: snapshots.snapshot_overlap(calls, wm - 35).first()[0]}
+
+
+def test_published_counts_close(spark):
+    """The published result: active = open at window end + ended in the window, for every window."""
+    active_calls = [6_144, 283_353, 323_457, 323_116, 317_318, 40_000]
+    ends = [0, 260_000, 300_000, 300_000, 300_000, 40_000]
+    still_open = [a - e for a, e in zip(active_calls, ends)]
+    starts = [a - o for a, o in zip(active_calls, [0, *still_open])]
+    first = 1_764_079_950_000
+    deltas = spark.createDataFrame(
+        [(first + i * 30_000, s - e, first + i * 30_000) for i, (s, e) in enumerate(zip(starts, ends))],
+        "window_start long, delta_sum long, max_event_ts long",
+    )
+    opened = active.open_at_window_end(deltas).orderBy("window_start_ms").collect()
+    assert [r["count"] for r in opened] == still_open == [6_144, 23_353, 23_457, 23_116, 17_318, 0]
+
+
+def test_identity_active_open_ends(spark):
+    events = pairing.calls_to_events(golden_calls(spark))
+    opened = {r[0]: r[2] for r in active.open_at_window_end(active.window_deltas(events)).collect()}
+    ends = dict(
+        events.where("event_type = 1").groupBy((F.col("event_ts") - F.col("event_ts") % 30_000)).count().collect()
+    )
+    counts = dict(active.active_distinct(golden_calls(spark)).collect())
+    assert opened and all(counts[w] == n + ends.get(w, 0) for w, n in opened.items())

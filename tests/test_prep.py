@@ -1,0 +1,130 @@
+import statistics
+
+import pytest
+from pyspark.sql import functions as F
+
+from ringspan.operators import latency, prep, reconcile
+from ringspan.schema import WINDOW_RESULT, require_columns
+from ringspan.session import work_folder
+from ringspan.sources import files, replay
+from tests import fixtures as fx
+
+
+def test_sequence_id(spark):
+    rows = [(i, 1, 0, e) for i, (_, _, _, e) in enumerate(fx.random_calls(1, 500, 3, 9, 50_000))]
+    got = prep.assign_sequence_id(
+        fx.calls_df(spark, rows), ["end_ts", "unique_id"], work_folder(spark, "seq")
+    )
+    ids = {r.unique_id: r.id for r in got.collect()}
+    assert ids == {u: i for i, (u, *_) in enumerate(sorted(rows, key=lambda r: (r[3], r[0])))}
+
+
+def test_rebase(spark):
+    df = prep.rebase_time(fx.golden_calls(spark), ["start_ts", "end_ts"], 1_000_000)
+    assert df.agg(F.min("start_ts")).first()[0] == 1_002_000
+    events = prep.rebase_time(fx.golden_events(spark), ["event_ts"], 0, align_ms=30_000)
+    assert events.agg(F.min("event_ts")).first()[0] == 2_000
+
+
+@pytest.mark.parametrize("values", [[7], [3, 9], list(range(1, 11)), [5, 5, 1, 1, 1, 80, 3], list(range(400))])
+def test_latency_summary(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "publish_latency_ms long")
+    (got,) = latency.latency_summary(df).collect()
+    rank = int(len(values) * 0.95) if len(values) > 1 else 1
+    assert tuple(got) == (
+        len(values),
+        sum(values) / len(values),
+        statistics.median(values),
+        sorted(values)[rank - 1],
+    )
+
+
+def test_latency_summary_empty(spark):
+    (got,) = latency.latency_summary(spark.createDataFrame([], "publish_latency_ms long")).collect()
+    assert tuple(got) == (0, None, None, None)
+
+
+def test_publish_metrics(spark):
+    rows = [(0, 5, 29_000, "end", 40_000), (30_000, 1, 31_000, "end", 0)]
+    df = spark.createDataFrame(
+        rows, "window_start_ms long, count long, max_ts long, max_type string, max_ingest_ms long"
+    )
+    got = latency.add_publish_metrics(df, 2_000, F.lit(41_000).cast("long"))
+    assert tuple(got.columns) == WINDOW_RESULT
+    assert [tuple(r) for r in got.sort("window_start_ms").collect()] == [
+        (0, 5, 29_000, 31_001, 41_000, 9_999, 1_000, "end", 40_000),
+        (30_000, 1, 31_000, 33_001, 41_000, 7_999, 0, "end", 0),
+    ]
+    assert latency.add_publish_metrics(df).where("publish_time_ms > 1700000000000").count() == 2
+
+
+def test_reconcile(spark):
+    a = spark.createDataFrame([(1, 5), (2, 6), (3, None)], "w int, n int")
+    b = spark.createDataFrame([(1, 5), (2, 7), (4, 1), (3, None)], "w int, n int")
+    assert fx.bag(reconcile.reconcile(a, b, ["w"], "n")) == {(2, 6, 7): 1, (4, None, 1): 1}
+
+
+@pytest.mark.parametrize("how,offset", [("inner", 0), ("left", 0), ("left", 1)])
+def test_replay(spark, how, offset):
+    table = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "id long, x string")
+    ticks = spark.range(7).select(F.timestamp_millis("id").alias("timestamp"), F.col("id").alias("value"))
+    got = replay.replay_join(ticks, table, how, offset).select("value", "x").sort("value").collect()
+    names = {0: "a", 1: "b", 2: "c"}
+    want = [(v, names.get(v % 3 + offset)) for v in range(7)]
+    assert [tuple(r) for r in got] == [w for w in want if how == "left" or w[1]]
+    assert replay.replay_join(ticks, table.limit(0), how, offset).count() == (7 if how == "left" else 0)
+
+
+def test_require_columns(spark):
+    with pytest.raises(ValueError, match="end_ts"):
+        require_columns(spark.range(1), ["id", "end_ts"])
+
+
+CALL_LINES = """unique_id,start_ts,end_ts,caller,callee,disposition,imei
+1,10,20,5,6,connected,7
+2,10,bad,5,6,connected,7
+
+3,10
+4,10,20,,6,busy,7
+unique_id,start_ts,end_ts,caller,callee,disposition,imei
+5,10,20
+"""
+
+
+def test_malformed_calls(spark, tmp_path):
+    path = tmp_path / "calls.csv"
+    path.write_text(CALL_LINES)
+    lenient = files.read_calls(spark, str(path), bad="parse").select("unique_id", "end_ts", "caller")
+    assert fx.bag(lenient) == {(1, 20, 5): 1, (4, 20, 0): 1, (5, 20, 0): 1}
+    nulled = files.read_calls(spark, str(path)).where("unique_id is not null")
+    assert {r.unique_id: r.end_ts for r in nulled.collect()} == {1: 20, 2: None, 3: None, 4: 20, 5: 20}
+    dropped = files.read_calls(spark, str(path), bad="drop").select("unique_id", "end_ts", "caller", "callee", "disposition", "imei", "start_ts")
+    assert [r.unique_id for r in dropped.collect()] == [1, 4]
+
+
+def test_events_file(spark, tmp_path):
+    path = tmp_path / "events.csv"
+    path.write_text(
+        "unique_id,event_type,caller,callee,timestamp,disposition,imei,id\n"
+        "1,0,5,6,10,connected,7,0\n1,1,5,6,x,connected,7,1\n1,1,5,6,30\n"
+    )
+    events = files.read_events(spark, str(path), bad="parse", has_id=True)
+    assert events.columns[4] == "event_ts"
+    assert fx.bag(events.select("event_type", "event_ts", "id")) == {(0, 10, 0): 1, (1, 30, None): 1}
+    copy = str(tmp_path / "copy")
+    files.write_events_csv(events.drop("id"), copy)
+    assert fx.bag(files.read_events(spark, copy)) == fx.bag(events.drop("id"))
+
+
+def test_registered_views_answer_sql(spark):
+    """The look-ahead query as plain SQL over a registered view agrees with the operator."""
+    from ringspan.operators import gaps
+
+    files.register(fx.golden_calls(spark), "mono_signal")
+    literal = spark.sql(
+        """select a.caller, a.end_ts, min(b.start_ts) from mono_signal a join mono_signal b
+           on b.caller = a.caller and b.start_ts > a.end_ts
+           group by a.caller, a.unique_id, a.end_ts having min(b.start_ts) - a.end_ts > 60000"""
+    )
+    ours = gaps.idle_next_start(spark.table("mono_signal")).select("caller", "PrevEnd", "NextStart")
+    assert set(fx.bag(ours)) == set(fx.bag(literal))
