@@ -119,17 +119,20 @@ def _idle_lag_sliced(
     one row with a count on the map side, and only inverted ones keep their own.
     """
     long_ended = gap_passes(F.col("start_ts") - F.col("end_ts"), threshold_ms, inclusive)
-    order = ["start_ts", "kind", "own_gap"]
-    keys = ["caller", "_slice"]
+    who, order = ["unknown", "caller"], ["start_ts", "kind", "own_gap"]
+    keys = [*who, "_slice"]
     folded = (
         calls.withColumns(
             {
                 # 0 open end, 1 inverted, 2 ordinary: the order of siblings by end.
                 "kind": F.when(F.col("end_ts").isNull(), 0).when(long_ended, 1).otherwise(2),
                 "own_gap": F.when(long_ended, F.col("end_ts")),
+                # Unknown callers are one group, as in PARTITION BY; the flag keeps the join plain.
+                "unknown": F.col("caller").isNull(),
+                "caller": F.coalesce("caller", F.lit(0).cast("long")),
             }
         )
-        .groupBy("caller", *order)
+        .groupBy(*who, *order)
         .agg(F.count("*").alias("n"), F.max("end_ts").alias("last_end"))
     )
     sliced = materialize(folded, "siblings").withColumn("_slice", bucket("start_ts", slice_ms))
@@ -139,12 +142,12 @@ def _idle_lag_sliced(
         "*", F.lag("last_end").over(inside).alias("_lag"), F.row_number().over(inside).alias("_row")
     )
     last = sliced.groupBy(*keys).agg(F.max(F.struct(*order, "last_end")).alias("last"))
-    before = F.lag("last.last_end").over(Window.partitionBy("caller").orderBy("_slice"))
+    before = F.lag("last.last_end").over(Window.partitionBy(*who).orderBy("_slice"))
     carry = last.select(*keys, before.alias("_carry")).where("_carry is not null")
 
     first = F.when(F.col("_row") == 1, F.col("_carry")).otherwise(F.col("_lag"))
     candidates = local.join(carry, keys, "left").select(
-        "caller",
+        F.when(~F.col("unknown"), F.col("caller")).alias("caller"),
         "start_ts",
         F.inline(
             F.array(

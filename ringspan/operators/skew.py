@@ -21,12 +21,13 @@ _FRACTION = 0.001
 
 
 def hot_keys(df: DataFrame, key: str, rows: int = HOT_ROWS) -> list:
-    """The hot values of ``key``, from a 0.1 % sample of that one column.
+    """The hot values of ``key`` (None among them if NULL is one), from a sample of that one column.
 
     Runs a job: a scan of the key column, and a shuffle of the sample's counts. A key of ``rows`` rows
-    has some 2000 rows in the sample, half of which suffice to be listed.
+    has some 2000 rows in the sample, half of which suffice to be listed. ``df`` should be a stored
+    table or close to one; what lies below it is computed once more.
     """
-    counts = df.select(key).where(F.col(key).isNotNull()).sample(_FRACTION, seed=11).groupBy(key).count()
+    counts = df.select(key).sample(_FRACTION, seed=11).groupBy(key).count()
     hot = counts.where(F.col("count") > rows * _FRACTION / 2).orderBy(F.desc("count"))
     return [row[0] for row in hot.limit(MAX_HOT_KEYS).collect()]
 
@@ -41,5 +42,5 @@ def split_hot(
     keys = hot_keys(df, key) if hot is None else list(hot)
     if not keys:
         return df, None
-    is_hot = F.coalesce(F.col(key).isin(keys), F.lit(False))
+    is_hot = F.coalesce(F.col(key).isin([k for k in keys if k is not None]), F.lit(None in keys))
     return df.where(~is_hot), df.where(is_hot)

@@ -19,8 +19,18 @@ from ringspan.functions.time import (
     bucket,
     to_timestamp,
 )
-from ringspan.operators import active, expand, gaps, latency, pairing, prep, reconcile, snapshots
-from ringspan.session import work_folder
+from ringspan.operators import (
+    active,
+    expand,
+    gaps,
+    latency,
+    pairing,
+    prep,
+    reconcile,
+    skew,
+    snapshots,
+)
+from ringspan.session import materialize, work_folder
 from ringspan.sources import files, replay
 from ringspan.sources.derived import calls_from, calls_table, events_table, table_stream
 from ringspan.streaming import run, windows
@@ -157,14 +167,28 @@ def idle_next_mono_60s(spark, folder):
     return gaps.idle_next_start(calls_table(spark, folder)).orderBy("caller", "PrevEnd")
 
 
+def _paired(spark, folder, rule) -> tuple[DataFrame, list]:
+    """Paired calls and the hot callers among them.
+
+    Hot callers are looked up in the stored events, before pairing. If there are any, the paired
+    calls feed two branches and are written once.
+    """
+    events = events_table(spark, folder)
+    hot = skew.hot_keys(events.where(pairing.is_start()), "caller")
+    calls = pairing.pair_calls(events, rule)
+    return (materialize(calls, "paired") if hot else calls), hot
+
+
 def idle_next_bi_60s(spark, folder):
-    calls = pairing.pair_calls(events_table(spark, folder), "first_after")
-    return gaps.idle_next_start(calls).orderBy("caller", "PrevEnd")
+    calls, hot = _paired(spark, folder, "first_after")
+    return gaps.idle_next_start(calls, hot_callers=hot).orderBy("caller", "PrevEnd")
 
 
 def idle_next_bi_900s(spark, folder):
-    calls = pairing.pair_calls(events_table(spark, folder), "first_after")
-    return gaps.idle_next_start(calls, IDLE_QUARTER_HOUR_MS).orderBy("caller", "PrevEnd")
+    calls, hot = _paired(spark, folder, "first_after")
+    return gaps.idle_next_start(calls, IDLE_QUARTER_HOUR_MS, hot_callers=hot).orderBy(
+        "caller", "PrevEnd"
+    )
 
 
 def idle_lag_mono_30s(spark, folder):
@@ -172,8 +196,8 @@ def idle_lag_mono_30s(spark, folder):
 
 
 def idle_lag_bi_30s(spark, folder):
-    calls = pairing.pair_calls(events_table(spark, folder), "all")
-    return gaps.idle_lag(calls).orderBy("start_ts")
+    calls, hot = _paired(spark, folder, "all")
+    return gaps.idle_lag(calls, hot_callers=hot).orderBy("start_ts")
 
 
 # --- snapshots behind a watermark ------------------------------------------------------------
@@ -228,6 +252,13 @@ def sequence_id_bi(spark, folder):
     )
 
 
+def sequence_id_file(spark, folder):
+    """The numbered calls as a CSV file with an ``id`` column, read back."""
+    path = work_folder(spark, "sequence-file")
+    sequence_id_mono(spark, folder).write.option("header", True).csv(path)
+    return files.read_calls(spark, path, has_id=True)
+
+
 def time_rebase_mono(spark, folder):
     return prep.rebase_time(calls_table(spark, folder), ["start_ts", "end_ts"], TARGET_MS)
 
@@ -328,6 +359,13 @@ def publish_metrics(spark, folder):
     return _published(spark, folder)
 
 
+def publish_metrics_bi(spark, folder):
+    events = _arrivals(events_table(spark, folder), "event_ts", 700)
+    rows = active.open_at_window_end(active.window_deltas(events))
+    publish = F.col("max_ts") + PUBLISH_WAIT_MS + 1 + bucket("window_start_ms", HALF_MINUTE_MS) % 997
+    return latency.add_publish_metrics(rows, publish_ms=publish)
+
+
 def window_file(spark, folder):
     """The nine-column window file, written as CSV and read back."""
     path = work_folder(spark, "windows")
@@ -454,6 +492,7 @@ ALL: tuple[Query, ...] = (
     watermark_snapshots_started,
     sequence_id_mono,
     sequence_id_bi,
+    sequence_id_file,
     time_rebase_mono,
     time_rebase_bi,
     replay_inner,
@@ -463,6 +502,7 @@ ALL: tuple[Query, ...] = (
     csv_calls_null,
     csv_calls_drop,
     publish_metrics,
+    publish_metrics_bi,
     window_file,
     latency_summary,
     stream_starts_per_window,

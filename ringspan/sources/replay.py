@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ringspan.schema import require_columns
+
 # Rows up to which the stored table is broadcast: call and event rows are about 100 bytes, so this is
 # some 20 MB. Above it the join shuffles.
 BROADCAST_ROWS = 200_000
@@ -35,6 +37,7 @@ def replay_join(
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how={how!r}; one of inner, left")
+    require_columns(table, ["id"])
     n = table.count() if rows is None else rows
     key = (F.col("value") % F.lit(n) + offset) if n else F.lit(None).cast("long")
     ticks = rate.withColumnRenamed("timestamp", "rate_ts").withColumn("id", key)

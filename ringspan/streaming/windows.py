@@ -70,19 +70,26 @@ def stream_interval_rows(
 def stream_window_deltas(
     events: DataFrame, delay: str, window_ms: int = HALF_MINUTE_MS
 ) -> DataFrame:
-    """Starts minus ends per window: ``window_start, delta_sum, max_event_ts``.
+    """Starts minus other events per window: ``window_start, delta_sum, max_event_ts``, and the latest
+    arrival ``max_ingest_ms`` where events carry ``ingest_ts``.
 
     The running total over windows is not a stream aggregate; ``open_at_window_end`` takes it over the
     (small) table this stream writes.
     """
+    arrival = [F.max("ingest_ts").alias("max_ingest_ms")] if "ingest_ts" in events.columns else []
     return (
         events.where("event_type is not null and event_ts is not null")
         .withColumn("event_time", to_timestamp("event_ts"))
         .withWatermark("event_time", delay)
         .groupBy(F.window("event_time", f"{window_ms} milliseconds"))
-        .agg(F.sum(delta_of("event_type")).alias("delta_sum"), F.max("event_ts").alias("max_event_ts"))
+        .agg(
+            F.sum(delta_of("event_type")).alias("delta_sum"),
+            F.max("event_ts").alias("max_event_ts"),
+            *arrival,
+        )
+        .withColumn("window_start", _window_ms("window.start"))
         .select(
-            _window_ms("window.start").alias("window_start"), "delta_sum", "max_event_ts"
+            "window_start", "delta_sum", "max_event_ts", *(["max_ingest_ms"] if arrival else [])
         )
     )
 

@@ -81,7 +81,7 @@ def test_idle_next(spark, seed, hot):
 
 
 @pytest.mark.parametrize("seed", SEEDS)
-@pytest.mark.parametrize("hot", [[], [0, 1, 2]])
+@pytest.mark.parametrize("hot", [[], [0, 1, 2], [0, None], [None]])
 def test_idle_lag(spark, seed, hot):
     rows = with_nulls(fx.random_calls(seed, 200, 4, 1000, 1_000_000))
     rows += [(1, None, s, e) for _, c, s, e in rows if c == 3]
