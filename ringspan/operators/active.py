@@ -15,84 +15,94 @@ from pyspark.sql import functions as F
 from ringspan.functions.time import FIVE_MINUTES_MS, HALF_MINUTE_MS, bucket, floor_to, to_timestamp
 from ringspan.operators.expand import cover_windows, explode_range, spread_cover
 from ringspan.operators.pairing import is_end, is_start
-from ringspan.operators.running import SLICE_MS, accumulate
+from ringspan.operators.running import SLICE_MS, accumulate, max_before
 from ringspan.operators.skew import split_hot
 from ringspan.schema import START
 
 # Windows ordered by one task when totals run across windows (34 hours of half-minutes).
 _WINDOWS_PER_CELL = 4096
-# Windows per bit mask: the bits of a bigint.
-_BITS = 64
 
 
-def _edges(calls: DataFrame, window_ms: int, weight: Column) -> DataFrame:
-    """``+weight`` at the first window of a call and ``-weight`` just past its last one."""
-    return calls.select(
+def _edges(spans: DataFrame, window_ms: int, **weights: Column) -> DataFrame:
+    """``+weight`` at the first window of a span and ``-weight`` just past its last one."""
+    return spans.select(
         F.inline(
             F.array(
-                F.struct(floor_to("start_ts", window_ms).alias("at"), weight.alias("delta")),
+                F.struct(F.col("first").alias("at"), *[w.alias(n) for n, w in weights.items()]),
                 F.struct(
-                    (floor_to("end_ts", window_ms) + window_ms).alias("at"), (-weight).alias("delta")
+                    (F.col("last") + window_ms).alias("at"),
+                    *[(-w).alias(n) for n, w in weights.items()],
                 ),
             )
         )
     )
 
 
-def _fill_active(edges: DataFrame, window_ms: int) -> DataFrame:
-    """Edges to ``WindowStart, ActiveCalls`` for all windows with at least one active call."""
-    steps = edges.groupBy("at").agg(F.sum("delta").alias("delta")).where("delta <> 0")
-    levels = accumulate(steps, "at", ["delta"], window_ms * _WINDOWS_PER_CELL).where("delta_upto > 0")
+def _spans(calls: DataFrame, window_ms: int, *columns: str) -> DataFrame:
+    """First and last window of each call."""
+    return calls.select(
+        *columns,
+        floor_to("start_ts", window_ms).alias("first"),
+        floor_to("end_ts", window_ms).alias("last"),
+    ).where("first <= last")
+
+
+def _fill_active(edges: DataFrame, window_ms: int, shown: str = "delta") -> DataFrame:
+    """Edges to ``WindowStart, ActiveCalls``: the running total of ``delta`` at every window where
+    the running total of ``shown`` is positive."""
+    totals = list(dict.fromkeys(["delta", shown]))
+    steps = edges.groupBy("at").agg(*[F.sum(t).alias(t) for t in totals])
+    levels = accumulate(steps, "at", totals, window_ms * _WINDOWS_PER_CELL)
     return explode_range(
-        levels, F.col("at"), F.col("next_at") - window_ms, window_ms, "WindowStart"
+        levels.where(F.col(f"{shown}_upto") > 0),
+        F.col("at"),
+        F.col("next_at") - window_ms,
+        window_ms,
+        "WindowStart",
     ).select("WindowStart", F.col("delta_upto").alias("ActiveCalls"))
 
 
-def active_distinct(calls: DataFrame, window_ms: int = HALF_MINUTE_MS) -> DataFrame:
+def active_distinct(
+    calls: DataFrame,
+    window_ms: int = HALF_MINUTE_MS,
+    hot_ids: Sequence | None = None,
+    windows_per_slice: int = _WINDOWS_PER_CELL,
+) -> DataFrame:
     """Distinct call ids overlapping each window, closed end: ``WindowStart, ActiveCalls``.
 
-    A call becomes one bit mask per 64 windows. Masks of the same id are or-ed together, which removes
-    duplicates already on the map side, and the bits are counted per block. Where ids are known to be
-    unique, ``active_calls`` gives the same counts without shuffling anything per call.
+    Of each row only the windows count that no earlier-starting row of the same id has covered; what
+    remains of an id is disjoint, so distinct counting turns into plain counting. Where ids are known
+    to be unique, ``active_calls`` gives the same counts without shuffling anything per call.
     """
-    first, last = F.col("_first"), F.col("_last")
-    spans = calls.select(
-        "unique_id",
-        bucket("start_ts", window_ms).alias("_first"),
-        bucket("end_ts", window_ms).alias("_last"),
-    ).where("_first <= _last")
-    blocks = explode_range(spans, bucket(first, _BITS), bucket(last, _BITS), 1, "block")
-    lo = F.greatest(first - F.col("block") * _BITS, F.lit(0)).cast("int")
-    hi = F.least(last - F.col("block") * _BITS, F.lit(_BITS - 1)).cast("int")
-    masks = (
-        blocks.withColumns({"_lo": lo, "_hi": hi})
-        .withColumn("mask", F.expr(f"shiftleft(shiftrightunsigned(-1L, {_BITS - 1} - _hi + _lo), _lo)"))
-        .groupBy("unique_id", "block")
-        .agg(F.bit_or("mask").alias("mask"))
-    )
-    # A row without an id opens its windows but is not counted, as in count(distinct).
-    counted = masks.groupBy("block").agg(
-        F.bit_or("mask").alias("seen"),
-        *[
-            F.count_if(F.expr(f"unique_id is not null and getbit(mask, {i}) = 1")).alias(f"b{i}")
-            for i in range(_BITS)
-        ],
+    spans = _spans(calls, window_ms, "unique_id")
+    ordinary, hot = split_hot(spans.where("unique_id is not null"), "unique_id", hot_ids)
+    earlier = (
+        Window.partitionBy("unique_id")
+        .orderBy("first")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    return (
-        counted.select(
-            "block", "seen", F.posexplode(F.array(*[f"b{i}" for i in range(_BITS)])).alias("bit", "ActiveCalls")
-        )
-        .where("getbit(seen, bit) = 1")
-        .select(
-            ((F.col("block") * _BITS + F.col("bit")) * window_ms).alias("WindowStart"), "ActiveCalls"
+    ranked = ordinary.withColumn("before", F.max("last").over(earlier))
+    if hot is not None:
+        folded = hot.groupBy("unique_id", "first").agg(F.max("last").alias("last"))
+        ranked = ranked.unionByName(
+            max_before(folded, "unique_id", "first", "last", window_ms * windows_per_slice)
         )
+    fresh = ranked.where("before is null or last > before").select(
+        F.greatest(F.col("first"), F.col("before") + window_ms).alias("first"), "last"
     )
+    # A row without an id opens its windows but is not counted, as in count(distinct).
+    unknown = spans.where("unique_id is null")
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    edges = _edges(fresh, window_ms, delta=one, present=one).unionByName(
+        _edges(unknown, window_ms, delta=none, present=one)
+    )
+    return _fill_active(edges, window_ms, shown="present")
 
 
 def active_calls(calls: DataFrame, window_ms: int = HALF_MINUTE_MS) -> DataFrame:
     """Rows (not ids) overlapping each window: ``WindowStart, ActiveCalls``."""
-    valid = calls.where(floor_to("start_ts", window_ms) <= floor_to("end_ts", window_ms))
-    return _fill_active(_edges(valid, window_ms, F.lit(1).cast("long")), window_ms)
+    edges = _edges(_spans(calls, window_ms), window_ms, delta=F.lit(1).cast("long"))
+    return _fill_active(edges, window_ms)
 
 
 def active_pairs(

@@ -107,3 +107,24 @@ def nearest_later(
     return local.join(carry, [key, "_slice"], "left").select(
         *rows.columns, *[F.coalesce(f"_near_{c}", f"_far_{c}").alias(f"next_{c}") for c in take]
     )
+
+
+def max_before(rows: DataFrame, key: str, at: str, value: str, cell: int) -> DataFrame:
+    """Add ``before``: the largest ``value`` among rows of the same key with an earlier ``at``.
+
+    ``(key, at)`` must be unique; written first, like the aggregates of ``accumulate``.
+    """
+    cells = materialize(rows, "maxima").withColumn("_cell", bucket(at, cell))
+    peaks = cells.groupBy(key, "_cell").agg(F.max(value).alias("_peak"))
+    earlier = Window.unboundedPreceding, -1
+    carry = peaks.select(
+        key,
+        "_cell",
+        F.max("_peak").over(Window.partitionBy(key).orderBy("_cell").rowsBetween(*earlier)).alias("_far"),
+    ).where("_far is not null")
+    near = F.max(value).over(Window.partitionBy(key, "_cell").orderBy(at).rowsBetween(*earlier))
+    return (
+        cells.withColumn("_near", near)
+        .join(carry, [key, "_cell"], "left")
+        .select(*rows.columns, F.greatest("_near", "_far").alias("before"))
+    )

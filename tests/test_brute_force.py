@@ -18,10 +18,12 @@ def with_nulls(rows):
 
 
 @pytest.mark.parametrize("seed", SEEDS)
-def test_active_counts(spark, seed):
-    rows = fx.random_calls(seed, 150, 5, 40, 900_000)
+@pytest.mark.parametrize("hot", [[], [0, 1, 2, 3, 4, 5, 6, 7]])
+def test_active_counts(spark, seed, hot):
+    rows = fx.random_calls(seed, 150, 5, 40 if seed else 10, 900_000)
     df = fx.calls_df(spark, rows)
-    assert dict(active.active_distinct(df, W).collect()) == fx.count_windows_distinct(
+    got = active.active_distinct(df, W, hot_ids=hot, windows_per_slice=4)
+    assert dict(got.collect()) == fx.count_windows_distinct(
         [(u, s, e) for u, _, s, e in rows], W
     )
     assert dict(active.active_calls(df, W).collect()) == fx.count_windows(

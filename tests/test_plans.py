@@ -60,7 +60,6 @@ def test_window_counts_shuffle_aggregates_only(spark):
         active.starts_per_window(events),
         active.starts_by_window_id(calls),
         active.active_interval_rows(calls),
-        active.active_distinct(calls),
     ):
         lines = plan(df).splitlines()
         below = [lines[i + 1] for i, line in enumerate(lines) if "Exchange" in line]
