@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,16 +33,22 @@ def local_session(cores: int | str = "*", memory: str = "16g", name: str = "ring
     return spark
 
 
+@lru_cache(maxsize=1)
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="ringspan-")
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the cluster's shared ``spark.checkpoint.dir``.
+    """A fresh folder below the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a session that names no such folder (a test) falls back to a temporary one, which is
-    then written back to the session so that later calls share it.
+    Where the setting is missing, a one-machine session (a test) gets a temporary folder; on a
+    cluster that would not be shared, and is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="ringspan-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        root = _local_root()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

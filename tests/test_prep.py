@@ -128,3 +128,21 @@ def test_registered_views_answer_sql(spark):
     )
     ours = gaps.idle_next_start(spark.table("mono_signal")).select("caller", "PrevEnd", "NextStart")
     assert set(fx.bag(ours)) == set(fx.bag(literal))
+
+
+class _Session:
+    """Just the two things ``work_folder`` asks a session for."""
+
+    def __init__(self, master, checkpoint_dir):
+        self.sparkContext = type("Context", (), {"master": master})()
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: checkpoint_dir)})()
+
+
+def test_work_folder_follows_the_session():
+    shared = work_folder(_Session("yarn", "hdfs:///shared/"), "x")
+    assert shared.startswith("hdfs:///shared/x-")
+    assert work_folder(_Session("yarn", "hdfs:///shared/"), "x") != shared
+    one, two = (work_folder(_Session("local[2]", None), "x") for _ in range(2))
+    assert one != two and one.rsplit("/", 1)[0] == two.rsplit("/", 1)[0]
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        work_folder(_Session("yarn", None), "x")
