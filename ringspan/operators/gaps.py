@@ -52,7 +52,7 @@ def idle_next_start(
             "caller",
             "t",
             "start",
-            F.last(F.when(F.col("start"), F.col("t")), ignorenulls=True).over(upto).alias("next_t"),
+            F.min(F.when(F.col("start"), F.col("t"))).over(upto).alias("next_t"),
             F.last(F.when(F.col("start"), F.col("tied")), ignorenulls=True)
             .over(upto)
             .alias("copies"),
@@ -129,7 +129,7 @@ def _idle_lag_sliced(
                 "own_gap": F.when(long_ended, F.col("end_ts")),
                 # Unknown callers are one group, as in PARTITION BY; the flag keeps the join plain.
                 "unknown": F.col("caller").isNull(),
-                "caller": F.coalesce("caller", F.lit(0).cast("long")),
+                "caller": F.coalesce("caller", F.lit(0).cast(calls.schema["caller"].dataType)),
             }
         )
         .groupBy(*who, *order)

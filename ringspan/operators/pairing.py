@@ -75,7 +75,7 @@ def _pair_first_after(events: DataFrame, hot_ids: Sequence | None, slice_ms: int
         .orderBy(F.desc("event_ts"), "event_type")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    next_end = F.last(F.when(is_end(), F.col("event_ts")), ignorenulls=True).over(ahead)
+    next_end = F.min(F.when(is_end(), F.col("event_ts"))).over(ahead)
     paired = ordinary.withColumn("next_event_ts", next_end).where(is_start())
     if hot is not None:
         # Look ahead once per distinct time of an id, then give the answer to every start there.

@@ -458,6 +458,18 @@ def stream_materialized_calls(spark, folder):
     return spark.read.schema(calls.schema).parquet(f"{path}/out")
 
 
+def _timed(calls: DataFrame) -> DataFrame:
+    return calls.withColumn("event_time", to_timestamp("end_ts")).withWatermark(
+        "event_time", "1 second"
+    )
+
+
+def stream_watermark_snapshots(spark, folder):
+    """Calls appended to a table by a stream, analysed at each due watermark of that stream."""
+    table, progress = _drained(spark, "snapshots", _call_stream(spark, folder), _timed)
+    return run.due_snapshots(table, progress)
+
+
 def stream_progress(spark, folder):
     """Progress reports of the stream of window starts."""
     _, progress = _drained(spark, "progress", _event_stream(spark, folder), _start_counts)
@@ -511,6 +523,7 @@ ALL: tuple[Query, ...] = (
     stream_window_deltas,
     stream_open_at_end,
     stream_materialized_calls,
+    stream_watermark_snapshots,
     stream_progress,
 )
 

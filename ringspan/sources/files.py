@@ -99,6 +99,12 @@ def register(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+def register_signals(calls: DataFrame, events: DataFrame) -> None:
+    """Views ``mono_signal`` and ``bi_signal`` with the file's column names, for queries in SQL text."""
+    register(calls, "mono_signal")
+    register(events.withColumnRenamed("event_ts", _FILE_EVENT_TIME), "bi_signal")
+
+
 def read_signal_stream(
     spark: SparkSession,
     path: str,

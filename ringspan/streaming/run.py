@@ -9,6 +9,13 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from ringspan.functions.time import SNAPSHOT_DELAY_S, SNAPSHOT_SIZE_S
+from ringspan.operators.snapshots import (
+    next_triggers,
+    watermark_snapshots,
+    watermark_snapshots_started,
+)
+
 PROGRESS = StructType(
     [
         StructField("batch_id", LongType()),
@@ -79,6 +86,25 @@ def watermark_seconds(text: str | None) -> int | None:
     return None if text is None else int(datetime.fromisoformat(text.replace("Z", "+00:00")).timestamp())
 
 
+def due_snapshots(
+    table: DataFrame,
+    progress: Iterable,
+    every_s: int = SNAPSHOT_SIZE_S - SNAPSHOT_DELAY_S,
+    last: int = 0,
+    started: bool = False,
+) -> DataFrame:
+    """Analyse the rows a stream has written so far at each watermark that is due.
+
+    A watermark is due when it lies ``every_s`` after the last one analysed (``last``, for a caller
+    that polls a running stream). ``table`` is read once for all of them.
+    """
+    reached = [watermark_seconds((report.eventTime or {}).get("watermark")) for report in progress]
+    due = next_triggers([wm for wm in reached if wm is not None], every_s, last)
+    watermarks = table.sparkSession.createDataFrame([(wm,) for wm in due], "wm long")
+    analyse = watermark_snapshots_started if started else watermark_snapshots
+    return analyse(table, watermarks)
+
+
 def progress_table(spark: SparkSession, progress: Iterable) -> DataFrame:
     """Progress reports (``query.recentProgress``, a bounded list) as a table."""
     rows = []

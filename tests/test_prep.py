@@ -3,7 +3,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from ringspan.operators import latency, prep, reconcile
+from ringspan.operators import gaps, latency, pairing, prep, reconcile
 from ringspan.schema import WINDOW_RESULT, require_columns
 from ringspan.session import work_folder
 from ringspan.sources import files, replay
@@ -117,17 +117,22 @@ def test_events_file(spark, tmp_path):
 
 
 def test_registered_views_answer_sql(spark):
-    """The look-ahead query as plain SQL over a registered view agrees with the operator."""
-    from ringspan.operators import gaps
-
-    files.register(fx.golden_calls(spark), "mono_signal")
-    literal = spark.sql(
+    """SQL text over the registered views agrees with the operators."""
+    files.register_signals(fx.golden_calls(spark), fx.golden_events(spark))
+    per_caller = spark.sql(
         """select a.caller, a.end_ts, min(b.start_ts) from mono_signal a join mono_signal b
            on b.caller = a.caller and b.start_ts > a.end_ts
            group by a.caller, a.unique_id, a.end_ts having min(b.start_ts) - a.end_ts > 60000"""
     )
     ours = gaps.idle_next_start(spark.table("mono_signal")).select("caller", "PrevEnd", "NextStart")
-    assert set(fx.bag(ours)) == set(fx.bag(literal))
+    assert set(fx.bag(ours)) == set(fx.bag(per_caller))
+    firsts = spark.sql(
+        """select unique_id, caller, `timestamp`,
+                  (select min(e.`timestamp`) from bi_signal e where e.event_type = 1
+                   and e.unique_id = s.unique_id and e.`timestamp` > s.`timestamp`)
+           from bi_signal s where event_type = 0"""
+    )
+    assert fx.bag(firsts) == fx.bag(pairing.pair_calls(fx.golden_events(spark), "first_after"))
 
 
 class _Session:

@@ -150,11 +150,13 @@ def test_snapshots_follow_the_watermark(spark, arrivals, tmp_path):
     assert table.count() == 300
     reports = run.progress_table(spark, progress).orderBy("batch_id").collect()
     due = snapshots.next_triggers([r["watermark_s"] for r in reports if r["watermark_s"]], 30)
-    marks = spark.createDataFrame([(wm,) for wm in due], "wm long")
-    got = snapshots.watermark_snapshots(table, marks)
-    assert got.count() == len(due) > 5
+    got = run.due_snapshots(table, progress)
+    assert sorted(r["trigger_time"] for r in got.collect()) == due
+    assert len(due) > 5
     for row in got.limit(3).collect():
         assert row[0] == snapshots.snapshot_overlap(table, row["trigger_time"]).first()[0]
+    later = run.due_snapshots(table.withColumn("rate_ts", F.col("event_ts")), progress, last=due[-2], started=True)
+    assert [r["trigger_time"] for r in later.collect()] == due[-1:]
 
 
 def test_window_file_from_a_stream(spark, arrivals, tmp_path):
