@@ -42,8 +42,9 @@ def add_publish_metrics(
 def latency_summary(windows: DataFrame, column: str = "publish_latency_ms") -> DataFrame:
     """One row ``count, avg, p50, p95`` with exact ranks.
 
-    ``column`` holds whole milliseconds. ``p50`` is the true median; ``p95`` is the value of rank ``floor(0.95 n)`` (from 1). Values are
-    folded into a histogram, whose running counts give the ranks; nothing is sorted as a whole.
+    ``column`` holds whole milliseconds. ``p50`` is the true median; ``p95`` is the value of rank
+    ``floor(0.95 n)`` (from 1). Values are folded into a histogram, whose running counts give the
+    ranks; nothing is sorted as a whole.
     """
     histogram = (
         windows.where(F.col(column).isNotNull())

@@ -43,6 +43,10 @@ SNAPSHOT_WM_S = 1_705_320_000
 STARTED_SIZE_S = 21_610
 HOUR_MS = 3_600_000
 
+# Input of one micro-batch: state then holds the windows of the last batches, not of all time. Files
+# are taken in the order they were written.
+FILES_PER_BATCH = 1_000
+
 # Longest call of the derived table is 5,880,240 ms.
 CALL_DELAY = "2 hours"
 EVENT_DELAY = "2 hours"
@@ -387,20 +391,25 @@ def _far_row(df: DataFrame) -> Row:
 
 
 def _drained(spark, name, source: DataFrame, build) -> tuple[DataFrame, list]:
-    """Run ``build(source)`` over all input and past the last window."""
+    """Run ``build(source)`` over all input and past the last window; an error if a row came late."""
     folder = work_folder(spark, name)
     tail = f"{folder}/tail"
     stream = run.with_tail(source, tail)
-    return run.run_to_end(
+    table, progress = run.run_to_end(
         build(stream),
         f"{folder}/out",
         f"{folder}/checkpoint",
         lambda: run.push_tail(spark, tail, stream.schema, _far_row(stream)),
     )
+    late = run.late_rows(progress)
+    if late:
+        raise RuntimeError(f"{late} rows came later than the delay allows; the windows are not whole")
+    return table, progress
 
 
 def _call_stream(spark, folder):
-    return calls_from(table_stream(spark, folder)).select("unique_id", "start_ts", "end_ts")
+    calls = calls_from(table_stream(spark, folder, FILES_PER_BATCH))
+    return calls.select("unique_id", "start_ts", "end_ts")
 
 
 def _event_stream(spark, folder):
@@ -453,7 +462,7 @@ def stream_open_at_end(spark, folder):
 def stream_materialized_calls(spark, folder):
     """Calls appended to a table by a stream, then read as a batch."""
     path = work_folder(spark, "calls")
-    calls = calls_from(table_stream(spark, folder))
+    calls = calls_from(table_stream(spark, folder, FILES_PER_BATCH))
     run.materialize_stream(calls, f"{path}/out", f"{path}/checkpoint").awaitTermination()
     return spark.read.schema(calls.schema).parquet(f"{path}/out")
 

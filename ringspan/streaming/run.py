@@ -61,6 +61,16 @@ def push_tail(spark: SparkSession, folder: str, schema: StructType, far: Row) ->
     spark.createDataFrame([far], schema).write.mode("append").parquet(folder)
 
 
+def _finish(query: StreamingQuery) -> list:
+    """Wait for a query that ends by itself; all its progress reports, however many batches it took
+    (the query keeps only the latest ones)."""
+    reports, ended = {}, False
+    while not ended:
+        ended = query.awaitTermination(1)
+        reports.update({(report.batchId, report.timestamp): report for report in query.recentProgress})
+    return list(reports.values())
+
+
 def run_to_end(
     stream: DataFrame, path: str, checkpoint: str, flush: Callable[[], None] | None = None
 ) -> tuple[DataFrame, list]:
@@ -70,17 +80,22 @@ def run_to_end(
     the stream then resumes from its checkpoint. Without it the windows the watermark has not passed
     are withheld, as append mode does.
     """
-    query = materialize_stream(stream, path, checkpoint)
-    query.awaitTermination()
-    progress = list(query.recentProgress)
+    progress = _finish(materialize_stream(stream, path, checkpoint))
     if flush is not None:
         flush()
-        query = materialize_stream(stream, path, checkpoint)
-        query.awaitTermination()
-        progress += query.recentProgress
+        progress += _finish(materialize_stream(stream, path, checkpoint))
     return stream.sparkSession.read.schema(stream.schema).parquet(path), progress
 
 
+def late_rows(progress: Iterable) -> int:
+    """Rows that came after the watermark had passed their window and were dropped."""
+    return sum(_late(report) for report in progress)
+
+
+def _late(report) -> int:
+    return sum(operator.numRowsDroppedByWatermark for operator in report.stateOperators)
+
+
 def watermark_seconds(text: str | None) -> int | None:
     """ISO watermark of a progress report as epoch seconds."""
     return None if text is None else int(datetime.fromisoformat(text.replace("Z", "+00:00")).timestamp())
@@ -117,7 +132,7 @@ def progress_table(spark: SparkSession, progress: Iterable) -> DataFrame:
                 watermark,
                 watermark_seconds(watermark),
                 report.numInputRows,
-                sum(op.numRowsDroppedByWatermark for op in report.stateOperators),
+                _late(report),
             )
         )
     return spark.createDataFrame(rows, PROGRESS)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ringspan.functions.time import to_timestamp
 from ringspan.operators import active, latency, pairing, reconcile, snapshots
+from ringspan.schema import CALLS
 from ringspan.sources import files, replay
 from ringspan.sources.derived import calls_table
 from ringspan.streaming import run, windows
@@ -53,14 +54,10 @@ def stream_calls(spark, arrivals):
     return files.read_signal_stream(spark, arrivals, schema, files_per_trigger=1)
 
 
-def late_rows(spark, progress):
-    return run.progress_table(spark, progress).agg(F.sum("late_rows")).first()[0]
-
-
 def test_active_distinct_in_short_batches(spark, arrivals, tmp_path):
     stream = windows.stream_active_distinct(stream_calls(spark, arrivals), "2 hours")
     got, progress = run.run_to_end(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint")
-    assert late_rows(spark, progress) == 0
+    assert run.late_rows(progress) == 0
     assert sum(p.numInputRows for p in progress) == 300
     # Nothing closed is wrong or missing; what is withheld is the tail behind the last watermark.
     last = run.watermark_seconds(progress[-1].eventTime["watermark"]) * 1000
@@ -73,7 +70,7 @@ def test_active_distinct_in_short_batches(spark, arrivals, tmp_path):
 def test_delay_shorter_than_calls_drops_rows(spark, short_arrivals, tmp_path):
     stream = windows.stream_active_distinct(stream_calls(spark, short_arrivals), "1 second")
     got, progress = run.run_to_end(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint")
-    assert late_rows(spark, progress) > 0
+    assert run.late_rows(progress) > 0
 
 
 def test_tail_is_flushed(spark, arrivals, tmp_path):
@@ -99,7 +96,7 @@ def test_deltas_then_running_total(spark, arrivals, tmp_path):
         f"{tmp_path}/checkpoint",
         lambda: run.push_tail(spark, f"{tmp_path}/tail", source.schema, Row(None, None, FAR, FAR)),
     )
-    assert late_rows(spark, progress) == 0
+    assert run.late_rows(progress) == 0
     wanted = active.window_deltas(pairing.calls_to_events(batch_calls(spark, arrivals)))
     assert reconcile.reconcile(
         active.open_at_window_end(wanted), active.open_at_window_end(got), ["window_start_ms"], "count"
@@ -171,6 +168,15 @@ def test_window_file_from_a_stream(spark, arrivals, tmp_path):
     assert latency.latency_summary(back).first()["count"] == back.count()
 
 
+def test_csv_stream(spark, tmp_path):
+    path = tmp_path / "calls"
+    path.mkdir()
+    (path / "a.csv").write_text("unique_id,start_ts,end_ts,caller,callee,disposition,imei\n1,5,9,2,3,busy,4\n")
+    stream = files.read_signal_stream(spark, str(path), CALLS, fmt="csv")
+    got, _ = run.run_to_end(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+    assert [tuple(r) for r in got.collect()] == [(1, 5, 9, 2, 3, "busy", 4)]
+
+
 def test_console_and_memory_sinks(spark, arrivals, tmp_path):
     counts = windows.stream_active_distinct(stream_calls(spark, arrivals), "2 hours")
     query = (
@@ -183,3 +189,6 @@ def test_console_and_memory_sinks(spark, arrivals, tmp_path):
     )
     query.awaitTermination()
     assert spark.table("in_memory_windows").count() > 1000
+    # The same frame feeds a second, independent query.
+    console = counts.writeStream.format("console").outputMode("append").option("truncate", "false")
+    console.option("numRows", 1).trigger(availableNow=True).start().awaitTermination()
