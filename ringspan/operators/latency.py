@@ -13,6 +13,11 @@ from ringspan.schema import WINDOW_RESULT, require_columns
 _VALUES_PER_CELL = 65_536
 
 
+def stamp_ingest(df: DataFrame) -> DataFrame:
+    """Arrival time ``ingest_ts``: the wall clock when the (micro-)batch is read."""
+    return df.withColumn("ingest_ts", now_ms())
+
+
 def add_publish_metrics(
     windows: DataFrame, wait_ms: int = PUBLISH_WAIT_MS, publish_ms: Column | None = None
 ) -> DataFrame:

@@ -4,28 +4,41 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ringspan.functions.time import LEAD_MS, floor_to
 
 
+def _earliest(columns: Sequence[str], align_ms: int | None) -> Column:
+    earliest = F.min(F.least(*columns) if len(columns) > 1 else F.col(columns[0]))
+    return earliest if align_ms is None else floor_to(earliest, align_ms)
+
+
+def earliest_time(df: DataFrame, columns: Sequence[str], align_ms: int | None = None) -> int | None:
+    """The earliest time in any of ``columns``, or the start of its window. Runs a job; one number."""
+    return df.select(_earliest(columns, align_ms)).first()[0]
+
+
 def rebase_time(
     df: DataFrame,
     columns: Sequence[str],
     target_ms: int,
     lead_ms: int = LEAD_MS,
     align_ms: int | None = None,
+    earliest_ms: int | None = None,
 ) -> DataFrame:
     """Shift all ``columns`` so that their earliest time becomes ``target_ms + lead_ms``.
 
     ``align_ms`` measures from the start of the earliest window instead. The minimum is a scalar
-    subquery: one pass over the time columns, no join.
+    subquery: one pass over the time columns, no join. A stream cannot look it up and needs
+    ``earliest_ms``, e.g. from ``earliest_time`` over the stored files.
     """
-    earliest = F.min(F.least(*columns) if len(columns) > 1 else F.col(columns[0]))
-    if align_ms is not None:
-        earliest = floor_to(earliest, align_ms)
-    shift = F.lit(target_ms + lead_ms).cast("long") - df.select(earliest).scalar()
+    target = F.lit(target_ms + lead_ms).cast("long")
+    if earliest_ms is None:
+        shift = target - df.select(_earliest(columns, align_ms)).scalar()
+    else:
+        shift = target - earliest_ms
     return df.withColumns({c: F.col(c) + shift for c in columns})
 
 

@@ -27,37 +27,22 @@ def _read(spark: SparkSession, path: str, schema: StructType, mode: str) -> Data
     return spark.read.schema(schema).option("header", True).option("mode", mode).csv(path)
 
 
-def _read_text(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """All fields as strings. Header lines stay in; they do not parse as records."""
-    text = StructType([StructField(f.name, StringType()) for f in schema])
-    return spark.read.schema(text).option("header", False).csv(path)
+def text_schema(schema: StructType) -> StructType:
+    """The same columns, all strings."""
+    return StructType([StructField(f.name, StringType()) for f in schema])
 
 
 def _typed(schema: StructType) -> list[Column]:
     return [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema]
 
 
-def read_calls(
-    spark: SparkSession, path: str, bad: str = "null", has_id: bool = False
-) -> DataFrame:
-    """Calls from CSV with an explicit schema.
-
-    ``bad`` says what becomes of malformed input: ``null`` turns bad fields into NULL, ``drop`` drops
-    every row with a bad or missing field, ``parse`` keeps the rows whose id, start and end are
-    readable and whose caller is readable or empty (an empty caller becomes 0).
-    """
-    schema = _file_schema(CALLS, has_id)
-    if bad == "null":
-        return _read(spark, path, schema, "PERMISSIVE")
-    if bad == "drop":
-        return _read(spark, path, schema, "DROPMALFORMED")
-    if bad != "parse":
-        raise ValueError(f"bad={bad!r}; one of null, drop, parse")
-    text = _read_text(spark, path, schema)
+def parse_calls(text: DataFrame, has_id: bool = False) -> DataFrame:
+    """Typed calls from string columns, batch or stream: the rows whose id, start and end are readable
+    and whose caller is readable or empty (an empty caller becomes 0). Header lines do not parse."""
     no_caller = F.coalesce(F.col("caller"), F.lit("")) == ""
     return (
         text.withColumn("_no_caller", no_caller)
-        .select(*_typed(schema), "_no_caller")
+        .select(*_typed(_file_schema(CALLS, has_id)), "_no_caller")
         .withColumn(
             "caller", F.when(F.col("_no_caller"), F.lit(0).cast("long")).otherwise(F.col("caller"))
         )
@@ -68,27 +53,69 @@ def read_calls(
     )
 
 
-def read_events(
+def parse_events(text: DataFrame, has_id: bool = False) -> DataFrame:
+    """Typed events from string columns, batch or stream: the rows with readable type and time."""
+    return (
+        text.select(*_typed(_file_schema(EVENTS, has_id)))
+        .withColumnRenamed(_FILE_EVENT_TIME, "event_ts")
+        .where("event_type is not null and event_ts is not null")
+    )
+
+
+# ``bad="null"`` and ``bad="drop"`` are reader modes.
+_MODES = {"null": "PERMISSIVE", "drop": "DROPMALFORMED"}
+
+
+def _read(spark: SparkSession, path: str, schema: StructType, bad: str) -> DataFrame:
+    if bad == "parse":
+        return spark.read.schema(text_schema(schema)).option("header", False).csv(path)
+    if bad not in _MODES:
+        raise ValueError(f"bad={bad!r}; one of null, drop, parse")
+    return spark.read.schema(schema).option("header", True).option("mode", _MODES[bad]).csv(path)
+
+
+def read_calls(
     spark: SparkSession, path: str, bad: str = "null", has_id: bool = False
 ) -> DataFrame:
-    """Events from CSV, the file's ``timestamp`` renamed to ``event_ts``.
+    """Calls from CSV with an explicit schema.
 
-    ``bad`` as in ``read_calls``; ``parse`` keeps the rows with readable type and time.
+    ``bad`` says what becomes of malformed input: ``null`` turns bad fields into NULL, ``drop`` drops
+    every row with a bad or missing field, ``parse`` keeps what ``parse_calls`` can use.
     """
-    schema = _file_schema(EVENTS, has_id)
-    if bad == "null":
-        raw = _read(spark, path, schema, "PERMISSIVE")
-    elif bad == "drop":
-        raw = _read(spark, path, schema, "DROPMALFORMED")
-    elif bad == "parse":
-        raw = _read_text(spark, path, schema).select(*_typed(schema)).where(
-            F.col("event_type").isNotNull() & F.col(_FILE_EVENT_TIME).isNotNull()
-        )
-    else:
-        raise ValueError(f"bad={bad!r}; one of null, drop, parse")
+    raw = _read(spark, path, _file_schema(CALLS, has_id), bad)
+    return parse_calls(raw, has_id) if bad == "parse" else raw
+
+
+def read_events(
+    spark: SparkSession, path: str, bad: str = "null", has_id: bool = False
+) -> DataFrame:
+    """Events from CSV, the file's ``timestamp`` renamed to ``event_ts``; ``bad`` as in ``read_calls``."""
+    raw = _read(spark, path, _file_schema(EVENTS, has_id), bad)
+    if bad == "parse":
+        return parse_events(raw, has_id)
     return raw.withColumnRenamed(_FILE_EVENT_TIME, "event_ts")
 
 
+def read_calls_stream(
+    spark: SparkSession, path: str, files_per_trigger: int | None = None
+) -> DataFrame:
+    """CSV files of calls as a stream, malformed lines left out."""
+    schema = text_schema(_file_schema(CALLS, has_id=False))
+    return parse_calls(_csv_stream(spark, path, schema, files_per_trigger))
+
+
+def read_events_stream(
+    spark: SparkSession, path: str, files_per_trigger: int | None = None
+) -> DataFrame:
+    """CSV files of events as a stream, malformed lines left out."""
+    schema = text_schema(_file_schema(EVENTS, has_id=False))
+    return parse_events(_csv_stream(spark, path, schema, files_per_trigger))
+
+
+def _csv_stream(spark, path, schema, files_per_trigger) -> DataFrame:
+    return read_signal_stream(spark, path, schema, "csv", files_per_trigger, header=False)
+
+
 def write_events_csv(events: DataFrame, path: str) -> None:
     events.withColumnRenamed("event_ts", _FILE_EVENT_TIME).write.option("header", True).csv(path)
 
@@ -111,11 +138,12 @@ def read_signal_stream(
     schema: StructType,
     fmt: str = "parquet",
     files_per_trigger: int | None = None,
+    header: bool = True,
 ) -> DataFrame:
     """A folder (or glob) of files as a stream, oldest file first."""
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = reader.option("header", header)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.load(path)

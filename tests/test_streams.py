@@ -1,13 +1,14 @@
 """Streams against the batch form of the same counts, over short micro-batches in arrival order."""
 
 import os
+import time
 
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from ringspan.functions.time import to_timestamp
-from ringspan.operators import active, latency, pairing, reconcile, snapshots
+from ringspan.operators import active, latency, pairing, prep, reconcile, snapshots
 from ringspan.schema import CALLS
 from ringspan.sources import files, replay
 from ringspan.sources.derived import calls_table
@@ -168,6 +169,47 @@ def test_window_file_from_a_stream(spark, arrivals, tmp_path):
     assert latency.latency_summary(back).first()["count"] == back.count()
 
 
+def test_malformed_lines_in_a_stream(spark, tmp_path):
+    path = tmp_path / "events"
+    path.mkdir()
+    lines = "unique_id,event_type,caller,callee,timestamp,disposition,imei\n1,0,5,6,10,busy,7\n1,x,5,6,20\n\n2,1,5,6,30\n"
+    (path / "a.csv").write_text(lines)
+    got, _ = run.run_to_end(
+        files.read_events_stream(spark, str(path)).select("unique_id", "event_type", "event_ts"),
+        f"{tmp_path}/out",
+        f"{tmp_path}/checkpoint",
+    )
+    assert sorted(map(tuple, got.collect())) == [(1, 0, 10), (2, 1, 30)]
+
+
+def test_csv_to_latency_end_to_end(spark, arrivals, tmp_path):
+    """Files of lines to a stream near the present, window counts, the window file, its summary."""
+    calls = batch_calls(spark, arrivals)
+    source = f"{tmp_path}/csv"
+    calls.select("unique_id", "start_ts", "end_ts", "caller").coalesce(1).write.option("header", True).csv(source)
+    stored = files.read_calls(spark, source, bad="parse")
+    assert stored.count() == 300
+    earliest = prep.earliest_time(stored, ["start_ts", "end_ts"])
+    near = int(time.time() * 1000)
+
+    moved = prep.rebase_time(
+        files.read_calls_stream(spark, source), ["start_ts", "end_ts"], near, earliest_ms=earliest
+    )
+    counts = windows.stream_interval_rows(latency.stamp_ingest(moved), "2 hours")
+    published = latency.add_publish_metrics(counts)
+    files.write_windows(published, f"{tmp_path}/out", checkpoint=f"{tmp_path}/checkpoint").awaitTermination()
+
+    result = spark.read.schema(published.schema).option("header", True).csv(f"{tmp_path}/out")
+    batch = active.active_interval_rows(
+        prep.rebase_time(stored, ["start_ts", "end_ts"], near).withColumn("ingest_ts", F.lit(1).cast("long"))
+    )
+    diff = reconcile.reconcile(batch, result, ["window_start_ms"], "count").collect()
+    assert result.count() > 1000 and all(r["actual"] is None for r in diff)
+    assert result.agg(F.min("window_start_ms")).first()[0] == (near + 2_000) // 30_000 * 30_000
+    summary = latency.latency_summary(result).first()
+    assert summary["count"] == result.count() and summary["p50"] <= summary["p95"]
+
+
 def test_csv_stream(spark, tmp_path):
     path = tmp_path / "calls"
     path.mkdir()
