@@ -400,6 +400,8 @@ def _drained(spark, name, source: DataFrame, build) -> tuple[DataFrame, list]:
         f"{folder}/out",
         f"{folder}/checkpoint",
         lambda: run.push_tail(spark, tail, stream.schema, _far_row(stream)),
+        # One state partition per core.
+        state_partitions=spark.sparkContext.defaultParallelism,
     )
     late = run.late_rows(progress)
     if late:

@@ -29,13 +29,22 @@ PROGRESS = StructType(
 
 
 def materialize_stream(
-    stream: DataFrame, path: str, checkpoint: str, every: str | None = None, name: str | None = None
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    every: str | None = None,
+    name: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Append a stream to a Parquet table that batch queries can read while it grows.
 
     Rows go from the executors to the table and never through the driver. Each query needs its own
     ``checkpoint``. With ``every`` ("1 second") it keeps running; without, it stops when the input
     at hand is used up.
+
+    Adaptive execution does not apply to streams, so every micro-batch runs as many tasks per stateful
+    step as there were shuffle partitions at the first start. ``state_partitions`` sets that number for
+    this query; the default is the session's.
     """
     writer = (
         stream.writeStream.format("parquet")
@@ -45,8 +54,16 @@ def materialize_stream(
     )
     if name is not None:
         writer = writer.queryName(name)
-    trigger = {"processingTime": every} if every else {"availableNow": True}
-    return writer.trigger(**trigger).start()
+    writer = writer.trigger(**({"processingTime": every} if every else {"availableNow": True}))
+    if state_partitions is None:
+        return writer.start()
+    conf, key = stream.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(key)
+    conf.set(key, str(state_partitions))
+    try:
+        return writer.start()  # the query keeps a copy of the session's settings
+    finally:
+        conf.set(key, before)
 
 
 def with_tail(stream: DataFrame, folder: str) -> DataFrame:
@@ -72,7 +89,11 @@ def _finish(query: StreamingQuery) -> list:
 
 
 def run_to_end(
-    stream: DataFrame, path: str, checkpoint: str, flush: Callable[[], None] | None = None
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    flush: Callable[[], None] | None = None,
+    state_partitions: int | None = None,
 ) -> tuple[DataFrame, list]:
     """Process all available input and return the written table and the progress reports.
 
@@ -80,10 +101,14 @@ def run_to_end(
     the stream then resumes from its checkpoint. Without it the windows the watermark has not passed
     are withheld, as append mode does.
     """
-    progress = _finish(materialize_stream(stream, path, checkpoint))
+
+    def start() -> StreamingQuery:
+        return materialize_stream(stream, path, checkpoint, state_partitions=state_partitions)
+
+    progress = _finish(start())
     if flush is not None:
         flush()
-        progress += _finish(materialize_stream(stream, path, checkpoint))
+        progress += _finish(start())
     return stream.sparkSession.read.schema(stream.schema).parquet(path), progress
 
 
