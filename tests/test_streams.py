@@ -82,7 +82,9 @@ def test_tail_is_flushed(spark, arrivals, tmp_path):
         f"{tmp_path}/out",
         f"{tmp_path}/checkpoint",
         lambda: run.push_tail(spark, f"{tmp_path}/tail", source.schema, Row(None, None, FAR, FAR)),
+        state_partitions=3,
     )
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
     batch = batch_calls(spark, arrivals).withColumn("ingest_ts", F.col("end_ts") + 5)
     wanted = active.active_interval_rows(batch)
     for column in ("count", "max_ts", "max_ingest_ms"):
