@@ -113,3 +113,26 @@ def test_hot_id_costs_rows_not_pairs(spark):
         assert counts.where(f"WindowStart = {w}").first()[1] == starts * ends - inverted
         first = pairing.pair_calls(events, "first_after", hot_ids=hot)
         assert first.where("end_ts = start_ts + 1000").count() == n
+
+
+def test_bucketed_calls_need_no_shuffle(spark, tmp_path):
+    """Calls stored in buckets of their caller (events in buckets of their id) are not shuffled again."""
+    calls = calls_table(spark, DATA)
+    calls.write.mode("overwrite").bucketBy(8, "caller").option("path", f"{tmp_path}/calls").saveAsTable("calls_b")
+    events = events_table(spark, DATA)
+    events.write.mode("overwrite").bucketBy(8, "unique_id").option("path", f"{tmp_path}/events").saveAsTable("events_b")
+    try:
+        stored_calls, stored_events = spark.table("calls_b"), spark.table("events_b")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plans = {
+            "lag": gaps.idle_lag(stored_calls, hot_callers=[]),
+            "next": gaps.idle_next_start(stored_calls, hot_callers=[]),
+            "first": pairing.pair_calls(stored_events, "first_after", hot_ids=[]),
+            "all": pairing.pair_calls(stored_events, "all_after"),
+        }
+        assert {name: plan(df).count("Exchange") for name, df in plans.items()} == dict.fromkeys(plans, 0)
+        assert plans["next"].exceptAll(gaps.idle_next_start(calls)).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("drop table calls_b")
+        spark.sql("drop table events_b")
