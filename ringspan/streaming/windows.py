@@ -37,6 +37,7 @@ def stream_active_distinct(
     """
     return (
         _expanded(calls.select("unique_id", "start_ts", "end_ts"), window_ms, delay)
+        .select("unique_id", "window_time")
         .dropDuplicates(["unique_id", "window_time"])
         .groupBy("window_time")
         .agg(F.count("unique_id").alias("ActiveCalls"))
