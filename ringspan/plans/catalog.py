@@ -43,6 +43,10 @@ SNAPSHOT_WM_S = 1_705_320_000
 STARTED_SIZE_S = 21_610
 HOUR_MS = 3_600_000
 
+# Keys that the ``_hot`` queries send down the hot-key plans: a third of the callers, some call ids.
+HOT_CALLERS = [9_000_000_000 + i for i in range(0, 50, 3)]
+HOT_IDS = list(range(0, 1_000, 2))
+
 # Input of one micro-batch: state then holds the windows of the last batches, not of all time. Files
 # are taken in the order they were written.
 FILES_PER_BATCH = 1_000
@@ -158,13 +162,17 @@ def active_pairs_noisy_30s(spark, folder):
     return active.active_pairs(_noisy_events(spark, folder)).orderBy("WindowStart")
 
 
-def _noisy_events(spark, folder):
-    """The events with repeated ids: every tenth call takes over the id before it, every twentieth
-    call loses its end."""
-    calls = calls_table(spark, folder).withColumn(
+def _noisy_calls(spark, folder):
+    """The calls with repeated ids: every tenth call takes over the id before it."""
+    return calls_table(spark, folder).withColumn(
         "unique_id", F.expr("if(unique_id % 10 = 9, unique_id - 1, unique_id)")
     )
-    return pairing.calls_to_events(calls).where("not (unique_id % 20 = 4 and event_type = 1)")
+
+
+def _noisy_events(spark, folder):
+    """Their events; every twentieth call loses its end."""
+    events = pairing.calls_to_events(_noisy_calls(spark, folder))
+    return events.where("not (unique_id % 20 = 4 and event_type = 1)")
 
 
 def idle_next_mono_60s(spark, folder):
@@ -204,6 +212,29 @@ def idle_lag_bi_30s(spark, folder):
     return gaps.idle_lag(calls, hot_callers=hot).orderBy("start_ts")
 
 
+# The same questions with some keys declared hot; the answers must not change.
+
+
+def active_distinct_hot(spark, folder):
+    return active.active_distinct(_noisy_calls(spark, folder), hot_ids=HOT_IDS)
+
+
+def active_pairs_hot(spark, folder):
+    return active.active_pairs(_noisy_events(spark, folder), hot_ids=HOT_IDS)
+
+
+def pair_first_after_hot(spark, folder):
+    return pairing.pair_calls(_noisy_events(spark, folder), "first_after", hot_ids=HOT_IDS)
+
+
+def idle_next_hot(spark, folder):
+    return gaps.idle_next_start(calls_table(spark, folder), hot_callers=HOT_CALLERS)
+
+
+def idle_lag_hot(spark, folder):
+    return gaps.idle_lag(calls_table(spark, folder), hot_callers=HOT_CALLERS)
+
+
 # --- snapshots behind a watermark ------------------------------------------------------------
 
 
@@ -509,6 +540,11 @@ ALL: tuple[Query, ...] = (
     idle_next_bi_900s,
     idle_lag_mono_30s,
     idle_lag_bi_30s,
+    active_distinct_hot,
+    active_pairs_hot,
+    pair_first_after_hot,
+    idle_next_hot,
+    idle_lag_hot,
     snapshot_overlap,
     snapshot_started,
     watermark_snapshots,
