@@ -42,5 +42,6 @@ def split_hot(
     keys = hot_keys(df, key) if hot is None else list(hot)
     if not keys:
         return df, None
-    is_hot = F.coalesce(F.col(key).isin([k for k in keys if k is not None]), F.lit(None in keys))
+    known = [k for k in keys if k is not None]
+    is_hot = F.when(F.col(key).isNull(), F.lit(None in keys)).otherwise(F.col(key).isin(known))
     return df.where(~is_hot), df.where(is_hot)

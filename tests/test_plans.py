@@ -67,15 +67,24 @@ def test_window_counts_shuffle_aggregates_only(spark):
 
 
 def test_hot_keys_are_found_and_split(spark):
-    """A third of the rows from one caller: it is listed, and the other third-million callers are not."""
+    """A third of the rows from one caller and a third from nobody: both are listed, no others."""
     calls = spark.range(300_000).select(
-        F.expr("if(id % 3 = 0, 7, id)").alias("caller"), F.col("id").alias("start_ts")
+        F.expr("case id % 3 when 0 then 7 when 1 then id end").alias("caller"),
+        F.col("id").alias("start_ts"),
     )
-    assert skew.hot_keys(calls, "caller", rows=50_000) == [7]
+    assert set(skew.hot_keys(calls, "caller", rows=50_000)) == {7, None}
     assert skew.hot_keys(calls, "caller") == []
-    ordinary, hot = skew.split_hot(calls.unionByName(calls.limit(1).withColumn("caller", F.lit(None).cast("long"))), "caller", [7])
-    assert hot.count() == 100_001 and ordinary.count() == 200_000
-    assert ordinary.where("caller is null").count() == 1
+    sizes = {}
+    for keys in ([], [7], [None], [7, None]):
+        ordinary, hot = skew.split_hot(calls, "caller", keys)
+        sizes[len(keys), None in keys] = (ordinary.count(), 0 if hot is None else hot.count())
+    third = 100_000
+    assert sizes == {
+        (0, False): (3 * third, 0),
+        (1, False): (2 * third - 1, third + 1),  # id 7 itself is an ordinary row of the same caller
+        (1, True): (2 * third, third),
+        (2, True): (third - 1, 2 * third + 1),
+    }
 
 
 def test_hot_caller_is_cut_into_slices(spark):
