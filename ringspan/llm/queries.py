@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ringspan.llm import decontaminate, token_counts, token_files
+from ringspan.llm import decontaminate, html_main, pii, token_counts, token_files
 from ringspan.session import work_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -23,6 +23,14 @@ def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_report(token_files.read_token_files(spark, path))
 
 
+def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.pii_report(pii.find_pii(_table(spark, folder, "documents")))
+
+
+def op4_html_main(spark: SparkSession, folder: str) -> DataFrame:
+    return html_main.extraction_report(html_main.extract_main_text(_table(spark, folder, "pages")))
+
+
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.line_token_counts(_table(spark, folder, "documents"), BYTE_BPE)
 
@@ -36,6 +44,8 @@ def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_files": op2_token_files,
+    "op3_pii": op3_pii,
+    "op4_html_main": op4_html_main,
     "op7_token_counts": op7_token_counts,
     "op8_decontaminate": op8_decontaminate,
 }
