@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ringspan.llm import decontaminate, html_main, pii, token_counts, token_files
+from ringspan.llm import decontaminate, html_main, jaccard, pii, quality, token_counts, token_files
 from ringspan.session import work_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -42,12 +42,22 @@ def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination_report(found)
 
 
+def op9_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar_documents(_table(spark, folder, "documents"))
+
+
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.score_quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_files": op2_token_files,
     "op3_pii": op3_pii,
     "op4_html_main": op4_html_main,
     "op7_token_counts": op7_token_counts,
     "op8_decontaminate": op8_decontaminate,
+    "op9_jaccard": op9_jaccard,
+    "op10_quality": op10_quality,
 }
 
 # Words: runs of characters that are not ASCII marks, white space or controls, A-Z in lower case. Documents and
@@ -95,6 +105,38 @@ SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_it
 FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+# Shingle sets as lists, pairs by shared shingles, sizes by inclusion and exclusion, components by walking links.
+_OP9 = r"""
+WITH RECURSIVE doc_words AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+    FROM documents
+),
+members AS (
+    SELECT DISTINCT doc_id, array_to_string(words[pos : pos + 4], ' ') AS shingle
+    FROM (SELECT doc_id, words, unnest(range(1, greatest(2, len(words) - 3))) AS pos FROM doc_words WHERE len(words) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM members GROUP BY doc_id),
+common AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+    FROM members x JOIN members y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+    GROUP BY 1, 2
+),
+links AS (
+    SELECT a, b FROM common JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b
+    WHERE 100 * shared >= 80 * (s.n + t.n - shared)
+),
+walk AS (
+    SELECT doc_id, doc_id AS reached FROM documents
+    UNION
+    SELECT walk.doc_id, links.b FROM walk JOIN links ON links.a = walk.reached
+)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(reached) AS component_id
+FROM walk LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
 ORACLE: dict[str, str] = {
     "op8_decontaminate": _OP8,
+    "op9_jaccard": _OP9,
 }
