@@ -7,16 +7,31 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ringspan.llm import decontaminate, html_main, jaccard, pii, quality, token_counts, token_files
+from ringspan.llm import (
+    decontaminate,
+    embedding_dedup,
+    html_main,
+    jaccard,
+    pieces,
+    pii,
+    quality,
+    token_counts,
+    token_files,
+)
 from ringspan.session import work_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, folder, "embeddings"))
+
+
 def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = work_folder(spark, "tokens")
     token_files.write_token_files(_table(spark, folder, "documents"), path, BYTE_BPE)
@@ -31,6 +46,10 @@ def op4_html_main(spark: SparkSession, folder: str) -> DataFrame:
     return html_main.extraction_report(html_main.extract_main_text(_table(spark, folder, "pages")))
 
 
+def op6_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.pieces_report(pieces.encode_pieces(_table(spark, folder, "documents"), PIECE_BPE))
+
+
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.line_token_counts(_table(spark, folder, "documents"), BYTE_BPE)
 
@@ -51,9 +70,11 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op2_token_files": op2_token_files,
     "op3_pii": op3_pii,
     "op4_html_main": op4_html_main,
+    "op6_pieces": op6_pieces,
     "op7_token_counts": op7_token_counts,
     "op8_decontaminate": op8_decontaminate,
     "op9_jaccard": op9_jaccard,
@@ -136,7 +157,28 @@ SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(reached) AS componen
 FROM walk LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
 """
 
+# All pairs of vectors by double-precision cosines, components by walking links.
+_OP1 = """
+WITH RECURSIVE units AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+),
+links AS (
+    SELECT x.vec_id AS a, y.vec_id AS b
+    FROM units x JOIN units y ON x.vec_id <> y.vec_id
+    WHERE list_cosine_similarity(x.v, y.v) >= 0.95
+),
+walk AS (
+    SELECT vec_id, vec_id AS reached FROM embeddings
+    UNION
+    SELECT walk.vec_id, links.b FROM walk JOIN links ON links.a = walk.reached
+),
+degrees AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(any_value(n), 0) AS n_links, min(reached) AS component_id, vec_id = min(reached) AS kept
+FROM walk LEFT JOIN degrees USING (vec_id) GROUP BY vec_id
+"""
+
 ORACLE: dict[str, str] = {
+    "op1_embedding_dedup": _OP1,
     "op8_decontaminate": _OP8,
     "op9_jaccard": _OP9,
 }
