@@ -12,6 +12,7 @@ from ringspan.llm import (
     embedding_dedup,
     html_main,
     jaccard,
+    line_dedup,
     pieces,
     pii,
     quality,
@@ -46,6 +47,10 @@ def op4_html_main(spark: SparkSession, folder: str) -> DataFrame:
     return html_main.extraction_report(html_main.extract_main_text(_table(spark, folder, "pages")))
 
 
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.line_report(line_dedup.dedupe_lines(_table(spark, folder, "documents")))
+
+
 def op6_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.pieces_report(pieces.encode_pieces(_table(spark, folder, "documents"), PIECE_BPE))
 
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_files": op2_token_files,
     "op3_pii": op3_pii,
     "op4_html_main": op4_html_main,
+    "op5_line_dedup": op5_line_dedup,
     "op6_pieces": op6_pieces,
     "op7_token_counts": op7_token_counts,
     "op8_decontaminate": op8_decontaminate,
