@@ -7,8 +7,6 @@ ordered and filled out. Work per call does not grow with its length, and no wind
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,7 +14,6 @@ from ringspan.functions.time import FIVE_MINUTES_MS, HALF_MINUTE_MS, bucket, flo
 from ringspan.operators.expand import cover_windows, explode_range, spread_cover
 from ringspan.operators.pairing import is_end, is_start
 from ringspan.operators.running import SLICE_MS, accumulate, max_before
-from ringspan.operators.skew import split_hot
 from ringspan.schema import START
 
 # Windows ordered by one task when totals run across windows (34 hours of half-minutes).
@@ -65,28 +62,28 @@ def _fill_active(edges: DataFrame, window_ms: int, shown: str = "delta") -> Data
 def active_distinct(
     calls: DataFrame,
     window_ms: int = HALF_MINUTE_MS,
-    hot_ids: Sequence | None = None,
+    sliced: bool = True,
     windows_per_slice: int = _WINDOWS_PER_CELL,
 ) -> DataFrame:
     """Distinct call ids overlapping each window, closed end: ``WindowStart, ActiveCalls``.
 
     Of each row only the windows count that no earlier-starting row of the same id has covered; what
     remains of an id is disjoint, so distinct counting turns into plain counting. Where ids are known
-    to be unique, ``active_calls`` gives the same counts without shuffling anything per call.
+    to be unique, ``active_calls`` gives the same counts without shuffling anything per call. Ids are
+    cut into slices of windows, unless ``sliced`` is off.
     """
     spans = _spans(calls, window_ms, "unique_id")
-    ordinary, hot = split_hot(spans.where("unique_id is not null"), "unique_id", hot_ids)
-    earlier = (
-        Window.partitionBy("unique_id")
-        .orderBy("first")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    ranked = ordinary.withColumn("before", F.max("last").over(earlier))
-    if hot is not None:
-        folded = hot.groupBy("unique_id", "first").agg(F.max("last").alias("last"))
-        ranked = ranked.unionByName(
-            max_before(folded, "unique_id", "first", "last", window_ms * windows_per_slice)
+    known = spans.where("unique_id is not null")
+    if sliced:
+        folded = known.groupBy("unique_id", "first").agg(F.max("last").alias("last"))
+        ranked = max_before(folded, "unique_id", "first", "last", window_ms * windows_per_slice)
+    else:
+        earlier = (
+            Window.partitionBy("unique_id")
+            .orderBy("first")
+            .rowsBetween(Window.unboundedPreceding, -1)
         )
+        ranked = known.withColumn("before", F.max("last").over(earlier))
     fresh = ranked.where("before is null or last > before").select(
         F.greatest(F.col("first"), F.col("before") + window_ms).alias("first"), "last"
     )
@@ -108,45 +105,19 @@ def active_calls(calls: DataFrame, window_ms: int = HALF_MINUTE_MS) -> DataFrame
 def active_pairs(
     events: DataFrame,
     window_ms: int = HALF_MINUTE_MS,
-    hot_ids: Sequence | None = None,
+    sliced: bool = True,
     slice_ms: int = SLICE_MS,
 ) -> DataFrame:
     """Start/end pairs (rule ``all_after``) overlapping each window, without forming the pairs.
 
     A start opens as many pairs as its id has later ends; an end closes as many as its id has earlier
-    starts. Both are running totals, so an id with *m* starts and *n* ends costs *m + n* rows.
+    starts. Both are running totals, so an id with *m* starts and *n* ends costs *m + n* rows. Ids are cut
+    into slices of time, unless ``sliced`` is off.
     """
     signals = events.where(
         (is_start() | is_end()) & F.col("unique_id").isNotNull() & F.col("event_ts").isNotNull()
     ).select("unique_id", "event_ts", "event_type")
-    ordinary, hot = split_hot(signals, "unique_id", hot_ids)
-
-    # Of equal times the ends come first: a pair needs an end strictly after its start.
-    by_id = Window.partitionBy("unique_id").orderBy("event_ts", F.desc("event_type"))
-    upto = by_id.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = by_id.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ranked = ordinary.select(
-        "event_ts",
-        is_start().cast("long").alias("starts"),
-        is_end().cast("long").alias("ends"),
-        F.count_if(is_start()).over(upto).alias("starts_before"),
-        (F.count_if(is_end()).over(whole) - F.count_if(is_end()).over(upto)).alias("ends_after"),
-    )
-    if hot is not None:
-        # Fold equal times on the map side, then take the totals slice by slice.
-        points = hot.groupBy("unique_id", "event_ts").agg(
-            F.count_if(is_start()).alias("starts"), F.count_if(is_end()).alias("ends")
-        )
-        sliced = accumulate(points, "event_ts", ["starts", "ends"], slice_ms, by=["unique_id"])
-        ranked = ranked.unionByName(
-            sliced.select(
-                "event_ts",
-                "starts",
-                "ends",
-                (F.col("starts_upto") - F.col("starts")).alias("starts_before"),
-                (F.col("ends_total") - F.col("ends_upto")).alias("ends_after"),
-            )
-        )
+    ranked = _sliced_ranks(signals, slice_ms) if sliced else _ranks(signals)
     window = floor_to("event_ts", window_ms)
     edges = ranked.select(
         F.inline(
@@ -162,6 +133,36 @@ def active_pairs(
     return _fill_active(edges, window_ms)
 
 
+def _ranks(signals: DataFrame) -> DataFrame:
+    """Per event, the starts of its id before it and the ends after it."""
+    # Of equal times the ends come first: a pair needs an end strictly after its start.
+    by_id = Window.partitionBy("unique_id").orderBy("event_ts", F.desc("event_type"))
+    upto = by_id.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = by_id.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return signals.select(
+        "event_ts",
+        is_start().cast("long").alias("starts"),
+        is_end().cast("long").alias("ends"),
+        F.count_if(is_start()).over(upto).alias("starts_before"),
+        (F.count_if(is_end()).over(whole) - F.count_if(is_end()).over(upto)).alias("ends_after"),
+    )
+
+
+def _sliced_ranks(signals: DataFrame, slice_ms: int) -> DataFrame:
+    """The same per distinct time of an id: equal times fold on the map side, totals go slice by slice."""
+    points = signals.groupBy("unique_id", "event_ts").agg(
+        F.count_if(is_start()).alias("starts"), F.count_if(is_end()).alias("ends")
+    )
+    totals = accumulate(points, "event_ts", ["starts", "ends"], slice_ms, by=["unique_id"])
+    return totals.select(
+        "event_ts",
+        "starts",
+        "ends",
+        (F.col("starts_upto") - F.col("starts")).alias("starts_before"),
+        (F.col("ends_total") - F.col("ends_upto")).alias("ends_after"),
+    )
+
+
 def active_interval_rows(calls: DataFrame, window_ms: int = HALF_MINUTE_MS) -> DataFrame:
     """Rows overlapping each window with the latest end and the latest arrival among them.
 

@@ -19,16 +19,22 @@ def stamp_ingest(df: DataFrame) -> DataFrame:
 
 
 def add_publish_metrics(
-    windows: DataFrame, wait_ms: int = PUBLISH_WAIT_MS, publish_ms: Column | None = None
+    windows: DataFrame,
+    wait_ms: int = PUBLISH_WAIT_MS,
+    publish_ms: Column | None = None,
+    zero_without_arrival: bool = True,
 ) -> DataFrame:
     """Window results with the nine columns of the result file.
 
     Takes ``window_start_ms, count, max_ts, max_type, max_ingest_ms``; ``publish_ms`` defaults to the
-    wall clock of the (micro-)batch.
+    wall clock of the (micro-)batch. Windows without an arrival have the latency 0; with
+    ``zero_without_arrival`` off the latency is always the difference, as for start/end events.
     """
     require_columns(windows, ["window_start_ms", "count", "max_ts", "max_type", "max_ingest_ms"])
     publish = now_ms() if publish_ms is None else publish_ms
-    ingest = F.col("max_ingest_ms")
+    latency = F.col("publish_time_ms") - F.col("max_ingest_ms")
+    if zero_without_arrival:
+        latency = F.when(F.col("max_ingest_ms") > 0, latency).otherwise(F.lit(0).cast("long"))
     timed = windows.withColumns(
         {"timer_ts": F.col("max_ts") + wait_ms + 1, "publish_time_ms": publish}
     )
@@ -37,9 +43,7 @@ def add_publish_metrics(
             "event_wait_ms": F.greatest(
                 F.lit(0).cast("long"), F.col("publish_time_ms") - F.col("timer_ts")
             ),
-            "publish_latency_ms": F.when(ingest > 0, F.col("publish_time_ms") - ingest).otherwise(
-                F.lit(0).cast("long")
-            ),
+            "publish_latency_ms": latency,
         }
     ).select(*WINDOW_RESULT)
 

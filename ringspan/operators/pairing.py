@@ -9,13 +9,10 @@ Three pairing rules:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ringspan.operators.running import SLICE_MS, nearest_later
-from ringspan.operators.skew import split_hot
 from ringspan.schema import END, START
 
 RULES = ("all", "all_after", "first_after")
@@ -42,19 +39,20 @@ def calls_to_events(calls: DataFrame) -> DataFrame:
 def pair_calls(
     events: DataFrame,
     rule: str = "first_after",
-    hot_ids: Sequence | None = None,
+    sliced: bool = True,
     slice_ms: int = SLICE_MS,
 ) -> DataFrame:
     """``unique_id, caller, start_ts, end_ts`` under one of the three rules.
 
     ``all`` and ``all_after`` return every matching pair, as an equi join; counts over pairs
     (``active_pairs``) do not go through them. ``first_after`` looks ahead in one ordered pass and
-    never forms a pair it does not return.
+    never forms a pair it does not return; it cuts every id into slices of time, unless ``sliced`` is off
+    (for tables bucketed by id and known to be even).
     """
     if rule not in RULES:
         raise ValueError(f"unknown pairing rule {rule!r}; one of {RULES}")
     if rule == "first_after":
-        return _pair_first_after(events, hot_ids, slice_ms)
+        return _pair_first_after(events, sliced, slice_ms)
     starts = events.where(is_start()).select(
         "unique_id", "caller", F.col("event_ts").alias("start_ts")
     )
@@ -63,23 +61,23 @@ def pair_calls(
     return pairs.where("end_ts > start_ts") if rule == "all_after" else pairs
 
 
-def _pair_first_after(events: DataFrame, hot_ids: Sequence | None, slice_ms: int) -> DataFrame:
+def _pair_first_after(events: DataFrame, sliced: bool, slice_ms: int) -> DataFrame:
     signals = events.where(is_start() | is_end()).select(
         "unique_id", "event_type", "caller", "event_ts"
     )
-    ordinary, hot = split_hot(signals.where("unique_id is not null"), "unique_id", hot_ids)
-
-    # Latest first; of equal times the starts come first and so do not see the ends they tie with.
-    ahead = (
-        Window.partitionBy("unique_id")
-        .orderBy(F.desc("event_ts"), "event_type")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    next_end = F.min(F.when(is_end(), F.col("event_ts"))).over(ahead)
-    paired = ordinary.withColumn("next_event_ts", next_end).where(is_start())
-    if hot is not None:
+    known = signals.where("unique_id is not null")
+    if not sliced:
+        # Latest first; of equal times the starts come first and so do not see the ends they tie with.
+        ahead = (
+            Window.partitionBy("unique_id")
+            .orderBy(F.desc("event_ts"), "event_type")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        )
+        next_end = F.min(F.when(is_end(), F.col("event_ts"))).over(ahead)
+        paired = known.withColumn("next_event_ts", next_end).where(is_start())
+    else:
         # Look ahead once per distinct time of an id, then give the answer to every start there.
-        points = hot.groupBy("unique_id", "event_ts").agg(
+        points = known.groupBy("unique_id", "event_ts").agg(
             F.max(is_start()).alias("has_start"), F.max(is_end()).alias("has_end")
         )
         ahead_of = nearest_later(
@@ -91,9 +89,7 @@ def _pair_first_after(events: DataFrame, hot_ids: Sequence | None, slice_ms: int
             ["event_ts"],
             slice_ms,
         ).select("unique_id", "event_ts", "next_event_ts")
-        paired = paired.unionByName(
-            hot.where(is_start()).join(ahead_of, ["unique_id", "event_ts"], "left")
-        )
+        paired = known.where(is_start()).join(ahead_of, ["unique_id", "event_ts"], "left")
     # A start without an id matches nothing but is still a start.
     loose = signals.where(F.col("unique_id").isNull() & is_start()).withColumn(
         "next_event_ts", F.lit(None).cast("long")

@@ -1,8 +1,12 @@
 """Running totals and nearest-later lookups that never put one key, or everything, in one task.
 
-Both work in two steps. Rows are cut along the order column into cells of fixed width, so a task
+They work in two steps. Rows are cut along the order column into cells of fixed width, so a task
 orders one cell. One summary row per cell is ordered across cells and joined back as a carry. The
 number of cells of a key is bounded by the time range, not by the row count.
+
+Nothing runs while a frame is built. Both steps read all columns of one exchange by key and cell, so
+Spark shuffles the rows once and uses the exchange twice. Rows without a place in the order have no answer
+and are left out before it, where the joins behind it would leave them out on one side only.
 """
 
 from __future__ import annotations
@@ -13,11 +17,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ringspan.functions.time import bucket
-from ringspan.session import materialize
 
-# 6 h: at one row per key and millisecond a cell holds at most 21.6 million rows, and a key has at
-# most 1461 cells a year.
-SLICE_MS = 6 * 3_600_000
+# 1 h: at one row per key and millisecond a cell holds at most 3.6 million rows, which one task orders
+# in seconds, and a key has at most 8,784 cells a year.
+SLICE_MS = 3_600_000
+
+
+def _whole(at: str, columns: Sequence[str]) -> Column:
+    """``at`` with the other columns behind it: its minimum or maximum reads them all."""
+    return F.struct(at, *[c for c in columns if c != at])
 
 
 def accumulate(
@@ -26,19 +34,19 @@ def accumulate(
     """Add to each row, in ``at`` order (per ``by``), for every value column ``v``:
 
     ``v_upto`` the running total including the row, ``v_total`` the grand total; and ``next_at``, the
-    next row's ``at``. ``(by, at)`` must be unique and ``at`` a bigint: an aggregate, which is written
-    to the work folder because the totals per cell and the totals inside a cell both read it.
+    next row's ``at``. ``(by, at)`` must be unique and ``at`` a bigint.
     """
     keys = [*by, "_cell"]
-    cells = materialize(rows, "running").withColumn("_cell", bucket(at, cell))
+    cells = rows.withColumn("_cell", bucket(at, cell)).where("_cell is not null").repartition(*keys)
 
     sums = cells.groupBy(*keys).agg(
-        *[F.sum(v).alias(v) for v in values], F.min(at).alias("_first")
+        *[F.sum(v).alias(v) for v in values], F.min(_whole(at, rows.columns))[at].alias("_first")
     )
     order = Window.partitionBy(*by).orderBy("_cell")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     carry = sums.select(
         *keys,
+        "_first",
         F.lead("_first").over(order).alias("_next"),
         *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"_{v}_before") for v in values],
         *[F.sum(v).over(Window.partitionBy(*by)).alias(f"{v}_total") for v in values],
@@ -51,7 +59,9 @@ def accumulate(
         F.lead(at).over(inside).alias("_lead"),
         *[F.sum(v).over(upto).alias(f"_{v}_upto") for v in values],
     )
-    return local.join(carry, keys).select(
+    # Always true; with it both sides need every column, and so share the exchange.
+    joined = local.join(carry, keys).where(F.col("_first") <= F.col(at))
+    return joined.select(
         *rows.columns,
         F.coalesce("_lead", "_next").alias("next_at"),
         *[(F.col(f"_{v}_before") + F.col(f"_{v}_upto")).alias(f"{v}_upto") for v in values],
@@ -71,13 +81,12 @@ def nearest_later(
     """Rows where ``ask`` holds, each with the ``take`` columns (prefixed ``next_``) of the nearest
     row of the same key with a strictly later ``at`` where ``mark`` holds; NULL where there is none.
 
-    ``(key, at)`` must be unique and the ``take`` columns not NULL on marked rows. Like ``accumulate``
-    this works on an aggregate and writes it first.
+    ``(key, at)`` must be unique and the ``take`` columns not NULL on marked rows.
     """
-    sliced = materialize(rows, "slices").withColumn("_slice", bucket(at, slice_ms))
+    sliced = rows.withColumn("_slice", bucket(at, slice_ms)).where("_slice is not null").repartition(key, "_slice")
 
     firsts = sliced.groupBy(key, "_slice").agg(
-        *[F.min_by(c, F.when(mark, F.col(at))).alias(c) for c in take], F.max(ask).alias("_asked")
+        F.min_by(F.struct(*rows.columns), F.when(mark, F.col(at))).alias("_row"), F.max(ask).alias("_asked")
     )
     later_slices = (
         Window.partitionBy(key)
@@ -85,7 +94,7 @@ def nearest_later(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     carry = (
-        firsts.select(
+        firsts.select(key, "_slice", "_asked", *[F.col("_row")[c].alias(c) for c in take]).select(
             key,
             "_slice",
             "_asked",
@@ -112,10 +121,11 @@ def nearest_later(
 def max_before(rows: DataFrame, key: str, at: str, value: str, cell: int) -> DataFrame:
     """Add ``before``: the largest ``value`` among rows of the same key with an earlier ``at``.
 
-    ``(key, at)`` must be unique; written first, like the aggregates of ``accumulate``.
+    ``(key, at)`` must be unique.
     """
-    cells = materialize(rows, "maxima").withColumn("_cell", bucket(at, cell))
-    peaks = cells.groupBy(key, "_cell").agg(F.max(value).alias("_peak"))
+    cells = rows.withColumn("_cell", bucket(at, cell)).where("_cell is not null").repartition(key, "_cell")
+    peak = F.max(_whole(value, rows.columns))[value]
+    peaks = cells.groupBy(key, "_cell").agg(peak.alias("_peak"))
     earlier = Window.unboundedPreceding, -1
     carry = peaks.select(
         key,

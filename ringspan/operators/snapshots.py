@@ -60,15 +60,19 @@ def watermark_snapshots(
 
     The range ends are whole seconds, so calls are first folded into seconds. A call is in range from
     the second it starts (seen from the range end) until its end, moved by the range length, has
-    passed: one running total over seconds answers all watermarks, without a range join.
+    passed: one running total over seconds answers all watermarks, without a range join. Calls with
+    a column ``visible_s`` count only from that watermark on.
     """
     span_ms = (size_s - delay_s) * 1000
+    begin = bucket("start_ts", 1000)
+    if "visible_s" in calls.columns:
+        begin = F.greatest(begin, F.col("visible_s") - delay_s - 1)
     steps = calls.where("start_ts is not null and end_ts is not null").select(
         F.inline(
             F.array(
-                F.struct(bucket("start_ts", 1000).alias("second"), F.lit(1).cast("long").alias("delta")),
+                F.struct(begin.alias("second"), F.lit(1).cast("long").alias("delta")),
                 F.struct(
-                    bucket(F.greatest(F.col("start_ts"), F.col("end_ts") + span_ms), 1000).alias("second"),
+                    F.greatest(begin, bucket(F.col("end_ts") + span_ms, 1000)).alias("second"),
                     F.lit(-1).cast("long").alias("delta"),
                 ),
             )
@@ -100,14 +104,17 @@ def watermark_snapshots_started(
     """``snapshot_started`` for every ``wm`` (distinct epoch seconds) of a table.
 
     Calls are folded into seconds before they meet the ranges; both sides of the join grow with the
-    time covered and not with the calls.
+    time covered and not with the calls. Calls with a column ``visible_s`` count only from that
+    watermark on.
     """
     span_s = size_s - delay_s
+    visible = F.col("visible_s") if "visible_s" in calls.columns else F.lit(None).cast("long")
     folded = (
         calls.where("start_ts is not null and end_ts is not null")
         .groupBy(
             bucket("start_ts", 1000).alias("second"),
             bucket(F.least("start_ts", "end_ts"), 1000).alias("still"),
+            visible.alias("visible"),
         )
         .agg(F.count("*").alias("n"), F.max("rate_ts").alias("last_rate"))
         .withColumn("slot", bucket("second", span_s))
@@ -120,7 +127,7 @@ def watermark_snapshots_started(
     )
     hits = (
         slots.join(folded, "slot")
-        .where("second >= lo and second < hi and still >= lo")
+        .where("second >= lo and second < hi and still >= lo and (visible is null or visible <= wm)")
         .groupBy("wm")
         .agg(F.sum("n").alias("n"), F.max("last_rate").alias("max_rate_ts"))
     )

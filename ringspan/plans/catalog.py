@@ -15,6 +15,7 @@ from ringspan.functions.time import (
     FIVE_MINUTES_MS,
     HALF_MINUTE_MS,
     IDLE_QUARTER_HOUR_MS,
+    LEAD_MS,
     PUBLISH_WAIT_MS,
     bucket,
     to_timestamp,
@@ -27,10 +28,9 @@ from ringspan.operators import (
     pairing,
     prep,
     reconcile,
-    skew,
     snapshots,
 )
-from ringspan.session import materialize, work_folder
+from ringspan.session import work_folder
 from ringspan.sources import files, replay
 from ringspan.sources.derived import calls_from, calls_table, events_table, table_stream
 from ringspan.streaming import run, windows
@@ -43,9 +43,10 @@ SNAPSHOT_WM_S = 1_705_320_000
 STARTED_SIZE_S = 21_610
 HOUR_MS = 3_600_000
 
-# Keys that the ``_hot`` queries send down the hot-key plans: a third of the callers, some call ids.
-HOT_CALLERS = [9_000_000_000 + i for i in range(0, 50, 3)]
-HOT_IDS = list(range(0, 1_000, 2))
+# The ``_hot`` queries cut keys into many small slices, as a key with many rows would be.
+SMALL_SLICE_MS = 600_000
+# Arrivals of the stream that is analysed at its watermarks: one micro-batch per so many days of ends.
+ARRIVAL_DAYS = 5
 
 # Input of one micro-batch: state then holds the windows of the last batches, not of all time. Files
 # are taken in the order they were written.
@@ -59,7 +60,9 @@ FAR_FUTURE_MS = 4_102_444_800_000
 
 def _utc(query: Query) -> Query:
     def run_in_utc(spark: SparkSession, folder: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+            spark = spark.newSession()  # the caller's settings stay as they are
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
         return query(spark, folder)
 
     run_in_utc.__name__, run_in_utc.__doc__ = query.__name__, query.__doc__
@@ -179,28 +182,14 @@ def idle_next_mono_60s(spark, folder):
     return gaps.idle_next_start(calls_table(spark, folder)).orderBy("caller", "PrevEnd")
 
 
-def _paired(spark, folder, rule) -> tuple[DataFrame, list]:
-    """Paired calls and the hot callers among them.
-
-    Hot callers are looked up in the stored events, before pairing. If there are any, the paired
-    calls feed two branches and are written once.
-    """
-    events = events_table(spark, folder)
-    hot = skew.hot_keys(events.where(pairing.is_start()), "caller")
-    calls = pairing.pair_calls(events, rule)
-    return (materialize(calls, "paired") if hot else calls), hot
-
-
 def idle_next_bi_60s(spark, folder):
-    calls, hot = _paired(spark, folder, "first_after")
-    return gaps.idle_next_start(calls, hot_callers=hot).orderBy("caller", "PrevEnd")
+    calls = pairing.pair_calls(events_table(spark, folder), "first_after")
+    return gaps.idle_next_start(calls).orderBy("caller", "PrevEnd")
 
 
 def idle_next_bi_900s(spark, folder):
-    calls, hot = _paired(spark, folder, "first_after")
-    return gaps.idle_next_start(calls, IDLE_QUARTER_HOUR_MS, hot_callers=hot).orderBy(
-        "caller", "PrevEnd"
-    )
+    calls = pairing.pair_calls(events_table(spark, folder), "first_after")
+    return gaps.idle_next_start(calls, IDLE_QUARTER_HOUR_MS).orderBy("caller", "PrevEnd")
 
 
 def idle_lag_mono_30s(spark, folder):
@@ -208,31 +197,56 @@ def idle_lag_mono_30s(spark, folder):
 
 
 def idle_lag_bi_30s(spark, folder):
-    calls, hot = _paired(spark, folder, "all")
-    return gaps.idle_lag(calls, hot_callers=hot).orderBy("start_ts")
+    calls = pairing.pair_calls(events_table(spark, folder), "all")
+    return gaps.idle_lag(calls).orderBy("start_ts")
 
 
-# The same questions with some keys declared hot; the answers must not change.
+# The same questions with keys cut into many small slices; the answers must not change.
 
 
 def active_distinct_hot(spark, folder):
-    return active.active_distinct(_noisy_calls(spark, folder), hot_ids=HOT_IDS)
+    return active.active_distinct(_noisy_calls(spark, folder), windows_per_slice=4)
 
 
 def active_pairs_hot(spark, folder):
-    return active.active_pairs(_noisy_events(spark, folder), hot_ids=HOT_IDS)
+    return active.active_pairs(_noisy_events(spark, folder), slice_ms=SMALL_SLICE_MS)
 
 
 def pair_first_after_hot(spark, folder):
-    return pairing.pair_calls(_noisy_events(spark, folder), "first_after", hot_ids=HOT_IDS)
+    return pairing.pair_calls(_noisy_events(spark, folder), "first_after", slice_ms=SMALL_SLICE_MS)
 
 
 def idle_next_hot(spark, folder):
-    return gaps.idle_next_start(calls_table(spark, folder), hot_callers=HOT_CALLERS)
+    return gaps.idle_next_start(calls_table(spark, folder), slice_ms=SMALL_SLICE_MS)
 
 
 def idle_lag_hot(spark, folder):
-    return gaps.idle_lag(calls_table(spark, folder), hot_callers=HOT_CALLERS)
+    return gaps.idle_lag(calls_table(spark, folder), slice_ms=SMALL_SLICE_MS)
+
+
+# Inverted and incomplete calls: some end before they start, some have no end or no caller.
+
+
+def _faulty_calls(spark, folder):
+    return calls_table(spark, folder).withColumns(
+        {
+            "end_ts": F.expr("if(unique_id % 11 = 3, start_ts - 60000 * (unique_id % 7), if(unique_id % 13 = 5, null, end_ts))"),
+            "caller": F.expr("if(unique_id % 17 = 2, null, caller)"),
+        }
+    )
+
+
+def active_interval_rows_faulty(spark, folder):
+    calls = _faulty_calls(spark, folder)
+    return active.active_interval_rows(_arrivals(calls, "end_ts", 500))
+
+
+def active_distinct_faulty(spark, folder):
+    return active.active_distinct(_faulty_calls(spark, folder))
+
+
+def idle_lag_faulty(spark, folder):
+    return gaps.idle_lag(_faulty_calls(spark, folder))
 
 
 # --- snapshots behind a watermark ------------------------------------------------------------
@@ -304,6 +318,14 @@ def time_rebase_bi(spark, folder):
     )
 
 
+def time_rebase_windows_bi(spark, folder):
+    """Window aggregates moved as wholes, so that the first window begins at the target."""
+    deltas = active.window_deltas(events_table(spark, folder))
+    earliest = deltas.agg(F.min("window_start")).scalar()
+    shift = F.lit(TARGET_MS + LEAD_MS) - earliest
+    return deltas.withColumns({c: F.col(c) + shift for c in ("window_start", "max_event_ts")})
+
+
 def _ticks(calls: DataFrame) -> DataFrame:
     """Three counter values per call, so that the replay wraps around."""
     return calls.select(
@@ -398,7 +420,7 @@ def publish_metrics_bi(spark, folder):
     events = _arrivals(events_table(spark, folder), "event_ts", 700)
     rows = active.open_at_window_end(active.window_deltas(events))
     publish = F.col("max_ts") + PUBLISH_WAIT_MS + 1 + bucket("window_start_ms", HALF_MINUTE_MS) % 997
-    return latency.add_publish_metrics(rows, publish_ms=publish)
+    return latency.add_publish_metrics(rows, publish_ms=publish, zero_without_arrival=False)
 
 
 def window_file(spark, folder):
@@ -422,7 +444,7 @@ def _far_row(df: DataFrame) -> Row:
 
 
 def _drained(spark, name, source: DataFrame, build) -> tuple[DataFrame, list]:
-    """Run ``build(source)`` over all input and past the last window; an error if a row came late."""
+    """Run ``build(source)`` (an aggregate) over all input and past its last window; an error if a row came late."""
     folder = work_folder(spark, name)
     tail = f"{folder}/tail"
     stream = run.with_tail(source, tail)
@@ -500,22 +522,38 @@ def stream_materialized_calls(spark, folder):
     return spark.read.schema(calls.schema).parquet(f"{path}/out")
 
 
-def _timed(calls: DataFrame) -> DataFrame:
-    return calls.withColumn("event_time", to_timestamp("end_ts")).withWatermark(
-        "event_time", "1 second"
-    )
+def _arriving(spark, folder, name) -> tuple[DataFrame, list]:
+    """Calls appended to a table by a stream, some days of ends per micro-batch, however the table is stored."""
+    path = work_folder(spark, name)
+    calls = calls_table(spark, folder).select("unique_id", "start_ts", "end_ts")
+    lot = bucket("end_ts", ARRIVAL_DAYS * 86_400_000)
+    lots = [row[0] for row in calls.select(lot.alias("lot")).distinct().orderBy("lot").collect()]
+    for number in lots:  # one file each, in this order
+        calls.where(lot == number).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    stream = spark.readStream.schema(calls.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    timed = stream.withColumn("event_time", to_timestamp("end_ts")).withWatermark("event_time", "1 second")
+    stamped = timed.withColumn("rate_ts", to_timestamp(F.col("end_ts") + F.col("unique_id") % 500))
+    return run.run_to_end(run.stamp_arrival(stamped), f"{path}/out", f"{path}/checkpoint")
 
 
 def stream_watermark_snapshots(spark, folder):
-    """Calls appended to a table by a stream, analysed at each due watermark of that stream."""
-    table, progress = _drained(spark, "snapshots", _call_stream(spark, folder), _timed)
+    """A growing table analysed at each due watermark of the stream that fills it, over the rows so far."""
+    table, progress = _arriving(spark, folder, "snapshots")
     return run.due_snapshots(table, progress)
 
 
+def stream_watermark_snapshots_started(spark, folder):
+    table, progress = _arriving(spark, folder, "snapshots-started")
+    return _rate_in_ms(run.due_snapshots(table, progress, started=True))
+
+
 def stream_progress(spark, folder):
-    """Progress reports of the stream of window starts."""
+    """Totals over the progress reports of the stream of window starts."""
     _, progress = _drained(spark, "progress", _event_stream(spark, folder), _start_counts)
-    return run.progress_table(spark, progress)
+    return run.progress_table(spark, progress).agg(
+        (F.sum("input_rows") - 1).alias("input_rows"),  # without the row that closes the windows
+        F.sum("late_rows").alias("late_rows"),
+    )
 
 
 ALL: tuple[Query, ...] = (
@@ -545,6 +583,9 @@ ALL: tuple[Query, ...] = (
     pair_first_after_hot,
     idle_next_hot,
     idle_lag_hot,
+    active_interval_rows_faulty,
+    active_distinct_faulty,
+    idle_lag_faulty,
     snapshot_overlap,
     snapshot_started,
     watermark_snapshots,
@@ -554,6 +595,7 @@ ALL: tuple[Query, ...] = (
     sequence_id_file,
     time_rebase_mono,
     time_rebase_bi,
+    time_rebase_windows_bi,
     replay_inner,
     replay_left,
     csv_calls_parse,
@@ -571,6 +613,7 @@ ALL: tuple[Query, ...] = (
     stream_open_at_end,
     stream_materialized_calls,
     stream_watermark_snapshots,
+    stream_watermark_snapshots_started,
     stream_progress,
 )
 

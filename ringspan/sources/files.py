@@ -23,10 +23,6 @@ def _file_schema(schema: StructType, has_id: bool) -> StructType:
     return with_id(renamed) if has_id else renamed
 
 
-def _read(spark: SparkSession, path: str, schema: StructType, mode: str) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).option("mode", mode).csv(path)
-
-
 def text_schema(schema: StructType) -> StructType:
     """The same columns, all strings."""
     return StructType([StructField(f.name, StringType()) for f in schema])

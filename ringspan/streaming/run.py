@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from ringspan.functions.time import SNAPSHOT_DELAY_S, SNAPSHOT_SIZE_S
+from ringspan.functions.time import SNAPSHOT_DELAY_S, SNAPSHOT_SIZE_S, now_ms
 from ringspan.operators.snapshots import (
     next_triggers,
     watermark_snapshots,
@@ -126,6 +127,15 @@ def watermark_seconds(text: str | None) -> int | None:
     return None if text is None else int(datetime.fromisoformat(text.replace("Z", "+00:00")).timestamp())
 
 
+def stamp_arrival(stream: DataFrame) -> DataFrame:
+    """Add ``arrived_ms``, the time of the micro-batch that brought a row, for ``due_snapshots``."""
+    return stream.withColumn("arrived_ms", now_ms())
+
+
+def _milliseconds(timestamp: str) -> int:
+    return round(datetime.fromisoformat(timestamp.replace("Z", "+00:00")).timestamp() * 1000)
+
+
 def due_snapshots(
     table: DataFrame,
     progress: Iterable,
@@ -136,13 +146,26 @@ def due_snapshots(
     """Analyse the rows a stream has written so far at each watermark that is due.
 
     A watermark is due when it lies ``every_s`` after the last one analysed (``last``, for a caller
-    that polls a running stream). ``table`` is read once for all of them.
+    that polls a running stream). The rows so far are those of the micro-batch that reports the watermark and of
+    the ones before it; ``table`` holds them all, with ``arrived_ms`` (see ``stamp_arrival``), and is read
+    once for all watermarks.
     """
-    reached = [watermark_seconds((report.eventTime or {}).get("watermark")) for report in progress]
+    reports = sorted(progress, key=lambda report: report.timestamp)
+    begins = [_milliseconds(report.timestamp) for report in reports]
+    reached = [watermark_seconds((report.eventTime or {}).get("watermark")) for report in reports]
     due = next_triggers([wm for wm in reached if wm is not None], every_s, last)
-    watermarks = table.sparkSession.createDataFrame([(wm,) for wm in due], "wm long")
+    # What a report's micro-batch brought was stamped before the next one began.
+    upto = {wm: end for wm, end in reversed(list(zip(reached, [*begins[1:], 1 << 62])))}
+    spark = table.sparkSession
+    watermarks = spark.createDataFrame([(wm,) for wm in due], "wm long")
+    # For each stamp the first due watermark that sees it: one row per micro-batch and watermark.
+    limits = spark.createDataFrame([(upto[wm], 0, wm) for wm in due], "arrived_ms long, is_row int, wm long")
+    stamps = table.select("arrived_ms").distinct().select("arrived_ms", F.lit(1), F.lit(None).cast("long"))
+    ahead = Window.orderBy(F.desc("arrived_ms"), "is_row").rowsBetween(Window.unboundedPreceding, 0)
+    seen = limits.union(stamps).withColumn("visible_s", F.min("wm").over(ahead)).where("is_row = 1")
+    calls = table.join(seen.select("arrived_ms", "visible_s"), "arrived_ms").where("visible_s is not null")
     analyse = watermark_snapshots_started if started else watermark_snapshots
-    return analyse(table, watermarks)
+    return analyse(calls, watermarks)
 
 
 def progress_table(spark: SparkSession, progress: Iterable) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Random records full of ties against brute force, on the ordinary and on the hot-key plans."""
+"""Random records full of ties against brute force, with keys in one piece and in slices."""
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -18,11 +18,11 @@ def with_nulls(rows):
 
 
 @pytest.mark.parametrize("seed", SEEDS)
-@pytest.mark.parametrize("hot", [[], [0, 1, 2, 3, 4, 5, 6, 7]])
-def test_active_counts(spark, seed, hot):
+@pytest.mark.parametrize("sliced", [False, True])
+def test_active_counts(spark, seed, sliced):
     rows = fx.random_calls(seed, 150, 5, 40 if seed else 10, 900_000)
     df = fx.calls_df(spark, rows)
-    got = active.active_distinct(df, W, hot_ids=hot, windows_per_slice=4)
+    got = active.active_distinct(df, W, sliced=sliced, windows_per_slice=4)
     assert dict(got.collect()) == fx.count_windows_distinct(
         [(u, s, e) for u, _, s, e in rows], W
     )
@@ -75,34 +75,34 @@ def test_long_ranges_in_chunks(spark):
 
 
 @pytest.mark.parametrize("seed", SEEDS)
-@pytest.mark.parametrize("hot", [[], [0, 1]])
-def test_idle_next(spark, seed, hot):
+@pytest.mark.parametrize("sliced", [False, True])
+def test_idle_next(spark, seed, sliced):
     rows = with_nulls(fx.random_calls(seed, 150, 4, 1000, 2_000_000))
-    got = gaps.idle_next_start(fx.calls_df(spark, rows), hot_callers=hot, slice_ms=120_000)
+    got = gaps.idle_next_start(fx.calls_df(spark, rows), sliced=sliced, slice_ms=120_000)
     assert fx.bag(got) == fx.idle_next([(c, s, e) for _, c, s, e in rows], 60_000)
 
 
 @pytest.mark.parametrize("seed", SEEDS)
-@pytest.mark.parametrize("hot", [[], [0, 1, 2], [0, None], [None]])
-def test_idle_lag(spark, seed, hot):
+@pytest.mark.parametrize("sliced", [False, True])
+def test_idle_lag(spark, seed, sliced):
     rows = with_nulls(fx.random_calls(seed, 200, 4, 1000, 1_000_000))
     rows += [(1, None, s, e) for _, c, s, e in rows if c == 3]
-    got = gaps.idle_lag(fx.calls_df(spark, rows), hot_callers=hot, slice_ms=90_000)
+    got = gaps.idle_lag(fx.calls_df(spark, rows), sliced=sliced, slice_ms=90_000)
     assert fx.bag(got) == fx.idle_lag([(c, s, e) for _, c, s, e in rows], 30_000)
 
 
 @pytest.mark.parametrize("seed", SEEDS)
-@pytest.mark.parametrize("hot", [[], [0, 1, 2, 3]])
-def test_pairing(spark, seed, hot):
+@pytest.mark.parametrize("sliced", [False, True])
+def test_pairing(spark, seed, sliced):
     events = fx.random_events(seed, 120, 3, 12, 600_000) + [(None, 1, 0, 500), (None, 1, 1, 900)]
     df = fx.events_df(spark, events)
     known = [e for e in events if e[0] is not None]
     assert fx.bag(pairing.pair_calls(df, "all")) == fx.all_pairs(known, after=False)
     assert fx.bag(pairing.pair_calls(df, "all_after")) == fx.all_pairs(known, after=True)
-    got = pairing.pair_calls(df, "first_after", hot_ids=hot, slice_ms=60_000)
+    got = pairing.pair_calls(df, "first_after", sliced=sliced, slice_ms=60_000)
     assert fx.bag(got) == fx.first_after(events)
     pairs = fx.all_pairs(known, after=True)
-    counts = active.active_pairs(df, W, hot_ids=hot, slice_ms=60_000)
+    counts = active.active_pairs(df, W, sliced=sliced, slice_ms=60_000)
     assert dict(counts.collect()) == fx.count_windows([(s, e) for _, _, s, e in pairs.elements()], W)
 
 

@@ -28,13 +28,7 @@ def test_entry(spark):
     assert df.count() > 0
 
 
-def test_progress_is_rows_only(spark):
-    rows = contract.queries()["stream_progress"](spark, DATA).collect()
-    assert sum(r["input_rows"] for r in rows) == 1000 + 1  # the table and the tail row
-    assert all(r["late_rows"] == 0 for r in rows)
-
-
-@pytest.mark.parametrize("name", ["active_distinct_30s", "stream_window_deltas"])
+@pytest.mark.parametrize("name", ["active_distinct_30s", "stream_window_deltas", "stream_watermark_snapshots"])
 def test_table_of_many_files(spark, con, tmp_path, name):
     """The table may be a folder of files, as on a cluster."""
     table = spark.read.parquet(f"{DATA}/events.parquet")

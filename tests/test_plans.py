@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from ringspan.operators import active, gaps, pairing, skew, snapshots
+from ringspan.operators import active, gaps, pairing, snapshots
 from ringspan.plans import catalog
 from ringspan.sources.derived import calls_table, events_table
 from tests import fixtures as fx
@@ -46,9 +46,9 @@ def test_calls_filter_reaches_the_scan(spark, tmp_path):
 
 def test_ordinary_gap_plans_shuffle_once(spark):
     calls = calls_table(spark, DATA)
-    for df in (gaps.idle_lag(calls), gaps.idle_next_start(calls)):
+    for df in (gaps.idle_lag(calls, sliced=False), gaps.idle_next_start(calls, sliced=False)):
         assert plan(df).count("Exchange hashpartitioning") == 1
-    assert plan(pairing.pair_calls(events_table(spark, DATA))).count("Exchange hashpartitioning") == 1
+    assert plan(pairing.pair_calls(events_table(spark, DATA), sliced=False)).count("Exchange hashpartitioning") == 1
 
 
 def test_window_counts_shuffle_aggregates_only(spark):
@@ -66,25 +66,44 @@ def test_window_counts_shuffle_aggregates_only(spark):
         assert below and all("HashAggregate" in line and "partial_" in line for line in below)
 
 
-def test_hot_keys_are_found_and_split(spark):
-    """A third of the rows from one caller and a third from nobody: both are listed, no others."""
-    calls = spark.range(300_000).select(
-        F.expr("case id % 3 when 0 then 7 when 1 then id end").alias("caller"),
-        F.col("id").alias("start_ts"),
+def test_no_job_while_a_frame_is_built(spark):
+    """Building the frames starts no Spark job: nothing is sampled, collected or written."""
+    calls, events = calls_table(spark, DATA), events_table(spark, DATA)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "frames")
+    try:
+        frames = [
+            active.active_distinct(calls),
+            active.active_pairs(events),
+            active.open_at_window_end(active.window_deltas(events)),
+            gaps.idle_next_start(pairing.pair_calls(events)),
+            gaps.idle_lag(calls),
+        ]
+        assert list(tracker.getJobIdsForGroup("building")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert all(frame.limit(1).count() == 1 for frame in frames)
+
+
+def test_totals_share_one_exchange(spark):
+    """The cells and their sums read the same shuffle."""
+    frame = active.open_at_window_end(active.window_deltas(events_table(spark, DATA)))
+    frame.collect()
+    assert "ReusedExchange" in plan(frame) or "ReusedExchange" in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_key_with_all_rows_in_one_slice(spark):
+    """One caller and one id hold all rows, within an hour: equal milliseconds fold before they are ordered."""
+    calls = spark.range(200_000).select(
+        F.lit(1).cast("long").alias("unique_id"),
+        F.lit(7).cast("long").alias("caller"),
+        (F.col("id") % 1000 * 3_000).alias("start_ts"),
+        (F.col("id") % 1000 * 3_000 + 500).alias("end_ts"),
     )
-    assert set(skew.hot_keys(calls, "caller", rows=50_000)) == {7, None}
-    assert skew.hot_keys(calls, "caller") == []
-    sizes = {}
-    for keys in ([], [7], [None], [7, None]):
-        ordinary, hot = skew.split_hot(calls, "caller", keys)
-        sizes[len(keys), None in keys] = (ordinary.count(), 0 if hot is None else hot.count())
-    third = 100_000
-    assert sizes == {
-        (0, False): (3 * third, 0),
-        (1, False): (2 * third - 1, third + 1),  # id 7 itself is an ordinary row of the same caller
-        (1, True): (2 * third, third),
-        (2, True): (third - 1, 2 * third + 1),
-    }
+    gapped = gaps.idle_next_start(calls, 2_000)
+    assert gapped.groupBy("PrevEnd").count().where("count <> 200 * 200").count() == 0
+    assert gapped.select("PrevEnd").distinct().count() == 999
+    assert active.active_distinct(calls, 30_000).where("ActiveCalls <> 1").count() == 0
 
 
 def test_hot_caller_is_cut_into_slices(spark):
@@ -97,7 +116,7 @@ def test_hot_caller_is_cut_into_slices(spark):
     )
     day = 86_400_000
     for operator in (gaps.idle_next_start, gaps.idle_lag):
-        plain, cut = operator(calls, 30_000, hot_callers=[]), operator(calls, 30_000, hot_callers=[7], slice_ms=day)
+        plain, cut = operator(calls, 30_000, sliced=False), operator(calls, 30_000, slice_ms=day)
         assert plain.exceptAll(cut).count() == cut.exceptAll(plain).count() == 0
         assert plain.where("caller = 7").count() > 1000
 
@@ -111,8 +130,8 @@ def test_hot_id_costs_rows_not_pairs(spark):
         (F.col("id") % 2).cast("int").alias("event_type"),
         (F.col("id") * 1000).alias("event_ts"),
     )
-    for hot in ([], [1]):
-        counts = active.active_pairs(events, 30_000, hot_ids=hot)
+    for sliced in (False, True):
+        counts = active.active_pairs(events, 30_000, sliced=sliced)
         # In window w, starts before its end times ends from its start on.
         w = 600_000
         starts = sum(1 for i in range(0, 2 * n, 2) if i * 1000 < w + 30_000)
@@ -120,7 +139,7 @@ def test_hot_id_costs_rows_not_pairs(spark):
         inside = [i for i in range(600, 630)]
         inverted = sum(1 for s in inside if s % 2 == 0 for e in inside if e % 2 == 1 and e < s)
         assert counts.where(f"WindowStart = {w}").first()[1] == starts * ends - inverted
-        first = pairing.pair_calls(events, "first_after", hot_ids=hot)
+        first = pairing.pair_calls(events, "first_after", sliced=sliced)
         assert first.where("end_ts = start_ts + 1000").count() == n
 
 
@@ -134,9 +153,9 @@ def test_bucketed_calls_need_no_shuffle(spark, tmp_path):
         stored_calls, stored_events = spark.table("calls_b"), spark.table("events_b")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         plans = {
-            "lag": gaps.idle_lag(stored_calls, hot_callers=[]),
-            "next": gaps.idle_next_start(stored_calls, hot_callers=[]),
-            "first": pairing.pair_calls(stored_events, "first_after", hot_ids=[]),
+            "lag": gaps.idle_lag(stored_calls, sliced=False),
+            "next": gaps.idle_next_start(stored_calls, sliced=False),
+            "first": pairing.pair_calls(stored_events, "first_after", sliced=False),
             "all": pairing.pair_calls(stored_events, "all_after"),
         }
         assert {name: plan(df).count("Exchange") for name, df in plans.items()} == dict.fromkeys(plans, 0)

@@ -144,7 +144,7 @@ def test_rate_source_reaches_the_join(spark, arrivals, tmp_path):
 
 def test_snapshots_follow_the_watermark(spark, arrivals, tmp_path):
     """Calls pile up in a table; each due watermark is analysed over the rows so far."""
-    calls = stream_calls(spark, arrivals)
+    calls = run.stamp_arrival(stream_calls(spark, arrivals))
     timed = calls.withColumn("event_ts", to_timestamp("end_ts")).withWatermark("event_ts", "1 second")
     table, progress = run.run_to_end(timed, f"{tmp_path}/out", f"{tmp_path}/checkpoint")
     assert table.count() == 300
@@ -153,12 +153,31 @@ def test_snapshots_follow_the_watermark(spark, arrivals, tmp_path):
     got = run.due_snapshots(table, progress)
     assert sorted(r["trigger_time"] for r in got.collect()) == due
     assert len(due) > 5
-    for row in got.limit(3).collect():
-        assert row[0] == snapshots.snapshot_overlap(table, row["trigger_time"]).first()[0]
+    stamps = sorted(r[0] for r in table.select("arrived_ms").distinct().collect())
+    batch = {r["watermark_s"]: n for n, r in reversed(list(enumerate(reports)))}
+    for row in got.collect():
+        so_far = table.where(F.col("arrived_ms") <= stamps[min(batch[row["trigger_time"]], len(stamps) - 1)])
+        assert row[0] == snapshots.snapshot_overlap(so_far, row["trigger_time"]).first()[0]
     later = run.due_snapshots(table.withColumn("rate_ts", F.col("event_ts")), progress, last=due[-2], started=True)
     assert [r["trigger_time"] for r in later.collect()] == due[-1:]
 
 
+def test_later_arrivals_are_not_counted(spark, tmp_path):
+    """Three micro-batches: a call of the third overlaps the range behind the watermark of the second."""
+    for batch in ([(1, 50_000, 100_000)], [(2, 150_000, 200_000)], [(3, 300_000, 390_000), (4, 10_000, 400_000)]):
+        lot = spark.createDataFrame(batch, "unique_id long, start_ts long, end_ts long")
+        lot.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(lot.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    timed = stream.withColumn("event_time", to_timestamp("end_ts")).withWatermark("event_time", "1 second")
+    table, progress = run.run_to_end(run.stamp_arrival(timed), f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+    table = table.withColumn("rate_ts", F.col("event_time"))
+    got = {r["trigger_time"]: r["active_calls_count"] for r in run.due_snapshots(table, progress).collect()}
+    # At 99 s only the calls ending at 100 s and 200 s are there, and the second starts too late; at 199 s all are.
+    assert got == {99: 1, 199: 2}
+    begun = run.due_snapshots(table, progress, started=True).collect()
+    assert {r["trigger_time"]: r["active_calls_count"] for r in begun} == {99: 0, 199: 0}
+
+
 def test_window_file_from_a_stream(spark, arrivals, tmp_path):
     calls = stream_calls(spark, arrivals).withColumn("ingest_ts", F.col("end_ts") + 5)
     published = latency.add_publish_metrics(windows.stream_interval_rows(calls, "2 hours"))
