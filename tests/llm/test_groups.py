@@ -176,7 +176,7 @@ def test_documents_of_equal_and_unknown_ids(spark):
 
 
 def _normal(line):
-    return re.sub(r"[\W_]+", " ", line.lower()).strip()
+    return " ".join(re.sub(r"[!-/:-@\[-`{-~]+", "", line.lower()).split())
 
 
 def _distance(a, b):
