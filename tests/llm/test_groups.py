@@ -229,7 +229,7 @@ def _similar_lines():
 
 
 def _fingerprints(spark, lines):
-    frame = spark.createDataFrame([(n, _normal(t)) for n, t in enumerate(lines)], "n int, norm string")
+    frame = spark.createDataFrame([(n, n, _normal(t)) for n, t in enumerate(lines)], "n int, line long, norm string")
     return {r["n"]: r["sim"] & (1 << 64) - 1 for r in line_dedup._fingerprint(frame).collect()}
 
 
@@ -251,7 +251,7 @@ def test_similar_lines(spark):
 
 
 def test_fingerprint_by_brute_force(spark):
-    lines = ["a b c d e", "one two three two one", "x " * 300 + "y z"]
+    lines = ["a b c d e", "one two three two one", "x " * 300 + "y z", " ".join(f"w{n}" for n in range(3000))]
     hashes = {}
     for line in lines:
         for word in _normal(line).split(" "):
@@ -268,6 +268,14 @@ def test_fingerprint_by_brute_force(spark):
         assert sims[n] == want
 
 
+def test_fingerprint_of_a_very_long_line(spark):
+    """Counts of over 16,383 words are compared by quarters: near copies stay near, and nothing overflows."""
+    words = [f"w{n}" for n in range(20_000)]
+    lines = [" ".join(words), " ".join(["v", *words[1:]]), " ".join(f"w{n}" for n in range(140_000))]
+    sims = _fingerprints(spark, lines)
+    assert (sims[0] ^ sims[1]).bit_count() <= 3 and len(sims) == 3
+
+
 def test_lines_run_no_python(spark):
     docs = spark.createDataFrame([(1, "alpha beta gamma\nx"), (2, "alpha beta gamma")], "doc_id long, text string")
     plan = line_dedup.dedupe_lines(docs)._jdf.queryExecution().executedPlan().toString()
