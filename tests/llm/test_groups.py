@@ -280,3 +280,23 @@ def test_lines_run_no_python(spark):
     docs = spark.createDataFrame([(1, "alpha beta gamma\nx"), (2, "alpha beta gamma")], "doc_id long, text string")
     plan = line_dedup.dedupe_lines(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_lines_of_other_marks_are_equal(spark):
+    """Whatever is neither letter nor digit parts words, in ASCII and beyond."""
+    lines = [
+        "It’s a “well-known” e–mail address",
+        "it's a \"well known\" e-mail address",
+        "«It s a well known» e mail   address",
+        "une idée «très» claire",
+        "Une idée très claire",
+        "une idee tres claire",
+        "एक दो तीन",
+    ]
+    frame = spark.createDataFrame([(lines,)], "lines array<string>")
+    got = frame.select(line_dedup.normalised(frame["lines"]).alias("norm")).first()["norm"]
+    assert got[0] == got[1] == got[2] == "it s a well known e mail address"
+    assert got[3] == got[4] == "une idée très claire" != got[5]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    kept = {r["doc_id"] for r in line_dedup.dedupe_lines(docs).collect()}
+    assert not kept & {1, 2, 4} and {0, 3, 6} <= kept
