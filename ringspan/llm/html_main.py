@@ -60,7 +60,10 @@ _TAG = re.compile(
 )
 _MARKS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 _CLASS = re.compile(r"\bclass\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
-_HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
+# One attribute: its name, and its value in any quotes.
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.IGNORECASE)
+_MAY_HIDE = re.compile(r"hidden|display", re.IGNORECASE)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _HOST = r"^(?i:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)"
 
@@ -83,7 +86,20 @@ def _is_marked(attributes: str) -> bool:
             words = [w.lower() for w in _WORDS.findall(mark)]
             if not _MARKED.isdisjoint(words) and words[0] not in ("has", "no", "with", "without"):
                 return True
-    return bool(_HIDDEN.search(attributes))
+    return _is_hidden(attributes)
+
+
+def _is_hidden(attributes: str) -> bool:
+    """Whether the element is not shown: ``hidden``, ``aria-hidden`` that is true, or a style without display."""
+    if not _MAY_HIDE.search(attributes):
+        return False
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), "".join(values).strip()
+        if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
+            return True
+        if name == "style" and _NO_DISPLAY.search(value):
+            return True
+    return False
 
 
 class Page:

@@ -188,3 +188,25 @@ def test_decontaminate(spark):
     got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in dc.decontaminate(docs, bench).collect()}
     assert got == {1: (clean, 7), 2: (clean + "- ! " + clean, len(clean) * 2 + 4), 4: (None, 7), 5: ("", 7)}
     assert dc.decontaminate(docs, bench).schema.names == docs.schema.names
+
+
+@pytest.mark.parametrize(
+    "attributes, shown",
+    [
+        ('class="content overflow-hidden"', True),
+        ('style="overflow:hidden"', True),
+        ('aria-hidden="false"', True),
+        ('data-state="hidden"', True),
+        ("data-hidden='no' title='display: none'", True),
+        ('style="display-mode: none; x-display:none"', True),
+        ("hidden", False),
+        ('HIDDEN="until-found" class="a"', False),
+        ("id=a aria-hidden=true", False),
+        ("aria-hidden = 'True'", False),
+        ('style="color:red; display : none"', False),
+    ],
+)
+def test_hidden_containers(attributes, shown):
+    words = "Text of the article that is long enough to win the page. " * 4
+    source = f"<body><div {attributes}><p>{words}</p></div><div><p>Other words.</p></div></body>"
+    assert (words.strip() in html_main.Page(source).main_text(())) == shown
