@@ -300,3 +300,25 @@ def test_lines_of_other_marks_are_equal(spark):
     docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
     kept = {r["doc_id"] for r in line_dedup.dedupe_lines(docs).collect()}
     assert not kept & {1, 2, 4} and {0, 3, 6} <= kept
+
+
+def test_lines_with_words_changed(spark):
+    """One word in ten or more, two in ten, and words put in: pairs that share too few bits of their fingerprints."""
+    rng = random.Random(21)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(4000)]
+    rows = []
+    for size in (6, 10, 20, 30, 50, 100):
+        for changed in (1, size // 10 + 1):
+            base = rng.choices(words, k=size)
+            copy = list(base)
+            for at in rng.sample(range(size), changed):
+                copy[at] = rng.choice(words)
+            rows += [base, copy, [*base[:2], rng.choice(words), *base[2:]]]
+    rows = [" ".join(row) for row in rows]
+    for n in range(0, len(rows), 3):
+        for copy in (rows[n + 1], rows[n + 2]):
+            if _distance(rows[n], copy) > 0.2 * max(len(rows[n]), len(copy)):
+                rows[rows.index(copy)] = rows[n]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    kept = {r["doc_id"] for r in line_dedup.dedupe_lines(docs).collect()}
+    assert kept == set(range(0, len(rows), 3))
