@@ -48,7 +48,7 @@ def op4_html_main(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return line_dedup.line_report(line_dedup.dedupe_lines(_table(spark, folder, "documents")))
+    return line_dedup.line_report(line_dedup.dedupe_lines(_table(spark, folder, "documents"), min_words=1))
 
 
 def op6_pieces(spark: SparkSession, folder: str) -> DataFrame:

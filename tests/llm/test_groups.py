@@ -322,3 +322,15 @@ def test_lines_with_words_changed(spark):
     docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
     kept = {r["doc_id"] for r in line_dedup.dedupe_lines(docs).collect()}
     assert kept == set(range(0, len(rows), 3))
+
+
+def test_equal_lines_of_any_length(spark):
+    """op5 and the pipeline treat lines of one word as well, a paragraph without spaces among them."""
+    paragraph = "吾輩は猫である。名前はまだ無い。どこで生れたかとんと見当がつかぬ。"
+    rows = [(1, f"short\n{paragraph}\n\nshort"), (2, f"Short!\nown\n\n{paragraph}"), (3, "own line\nown")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedupe_lines(docs, min_words=1).collect()}
+    assert got == {1: f"short\n{paragraph}\n", 2: "own\n", 3: "own line"}
+    import corpus_pipeline
+
+    assert {r["doc_id"]: r["text"] for r in corpus_pipeline.lines(spark, docs, "").collect()} == got
