@@ -13,11 +13,14 @@ from ringspan.llm import (
     html_main,
     jaccard,
     line_dedup,
+    merkle,
+    packing,
     pieces,
     pii,
     quality,
     token_counts,
     token_files,
+    whitening,
 )
 from ringspan.session import work_folder
 
@@ -74,6 +77,20 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score_quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.manifest_report(_table(spark, folder, "documents"), work_folder(spark, "manifest"))
+
+
+def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
+    path = work_folder(spark, "pieces")
+    cut = packing.write_pieces(_table(spark, folder, "documents"), path, BYTE_BPE)
+    return packing.packing_report(cut, packing.place_pieces(cut))
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitening_report(_table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_token_files": op2_token_files,
@@ -85,6 +102,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_jaccard": op9_jaccard,
     "op10_quality": op10_quality,
+    "op11_merkle": op11_merkle,
+    "op12_packing": op12_packing,
+    "op13_whitening": op13_whitening,
 }
 
 # Words: runs of characters that are not ASCII marks, white space or controls, A-Z in lower case. Documents and
@@ -183,8 +203,83 @@ SELECT vec_id, coalesce(any_value(n), 0) AS n_links, min(reached) AS component_i
 FROM walk LEFT JOIN degrees USING (vec_id) GROUP BY vec_id
 """
 
+# Every node of every tree by level, its siblings as texts to its left and right, and a row's path as a list of these.
+_OP11 = """
+WITH RECURSIVE checked AS (
+    SELECT *, list_reduce([4294967295::BIGINT] || list_transform(
+        regexp_extract_all(CAST(doc_id AS VARCHAR), '.'), lambda c: ascii(c)::BIGINT),
+        lambda sum, byte: list_reduce([xor(sum, byte), 1, 2, 3, 4, 5, 6, 7, 8],
+            lambda rest, bit: xor(rest >> 1, (rest & 1) * 3988292384))) AS inverted
+    FROM documents
+),
+fields AS (
+    SELECT doc_id, lang,
+           coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+           || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+           coalesce(strlen(text) || ':' || text, '-') AS own,
+           CASE WHEN xor(inverted, 4294967295) % 3 = 0 THEN coalesce(strlen(text) || ':' || translate(text,
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')
+           ELSE coalesce(strlen(text) || ':' || text, '-') END AS shown
+    FROM checked
+),
+leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+           count(*) OVER (PARTITION BY lang) AS n
+    FROM (SELECT doc_id, lang, sha256(head || own) AS leaf, sha256(head || shown) AS presented FROM fields)
+),
+nodes AS (
+    SELECT lang, 0 AS level, place, n, leaf AS digest FROM leaves
+    UNION ALL
+    SELECT lang, level + 1, place >> 3, (n + 7) >> 3, sha256(string_agg(digest, '' ORDER BY place))
+    FROM nodes WHERE n > 1 GROUP BY lang, level, place >> 3, n
+),
+subroots AS (
+    SELECT lang, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place, count(*) OVER () AS n
+    FROM nodes WHERE n = 1
+),
+tops AS (
+    SELECT 0 AS level, place, n, subroot AS digest FROM subroots
+    UNION ALL
+    SELECT level + 1, place >> 3, (n + 7) >> 3, sha256(string_agg(digest, '' ORDER BY place))
+    FROM tops WHERE n > 1 GROUP BY level, place >> 3, n
+),
+steps AS (
+    SELECT lang, level, place, coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '')
+           || '|' || coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS step
+    FROM nodes WHERE n > 1 WINDOW run AS (PARTITION BY lang, level, place >> 3 ORDER BY place)
+),
+top_steps AS (
+    SELECT level, place, coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '')
+           || '|' || coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS step
+    FROM tops WHERE n > 1 WINDOW run AS (PARTITION BY level, place >> 3 ORDER BY place)
+),
+lower_paths AS (
+    SELECT l.lang, l.place, list(step ORDER BY level) FILTER (step IS NOT NULL) AS path
+    FROM leaves l LEFT JOIN steps s ON s.lang IS NOT DISTINCT FROM l.lang AND s.place = l.place >> (3 * level) GROUP BY ALL
+),
+upper_paths AS (
+    SELECT r.lang, subroot, list(step ORDER BY level) FILTER (step IS NOT NULL) AS path
+    FROM subroots r LEFT JOIN top_steps s ON s.place = r.place >> (3 * level) GROUP BY ALL
+),
+proofs AS (
+    SELECT doc_id, leaf, subroot, (SELECT digest FROM tops WHERE n = 1) AS root, presented,
+           coalesce(p.path, []) || coalesce(u.path, []) AS path
+    FROM leaves l
+    JOIN lower_paths p ON p.lang IS NOT DISTINCT FROM l.lang AND p.place = l.place
+    JOIN upper_paths u ON u.lang IS NOT DISTINCT FROM l.lang
+)
+SELECT *, folded_root = root AS verified
+FROM (
+    SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(path, ''), '|', '')) AS proof_sha256,
+           list_reduce([presented] || path, lambda digest, step:
+               sha256(split_part(step, '|', 1) || digest || split_part(step, '|', 2))) AS folded_root
+    FROM proofs
+)
+"""
+
 ORACLE: dict[str, str] = {
     "op1_embedding_dedup": _OP1,
     "op8_decontaminate": _OP8,
     "op9_jaccard": _OP9,
+    "op11_merkle": _OP11,
 }

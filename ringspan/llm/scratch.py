@@ -40,6 +40,11 @@ class Scratch:
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
 
+    def drop_all(self) -> None:
+        """Remove every table still held; the caller has written what it needs elsewhere."""
+        for saved, _ in list(self._paths.values()):
+            self.drop(saved)
+
 
 # --- arrays of fixed size ------------------------------------------------------------------------------------
 
