@@ -190,6 +190,30 @@ def active_interval_rows(calls: DataFrame, window_ms: int = HALF_MINUTE_MS) -> D
     )
 
 
+def active_of_spans(spans: DataFrame, window_ms: int = HALF_MINUTE_MS) -> DataFrame:
+    """``WindowStart, ActiveCalls`` from calls folded by first and last window (``first, last, n``)."""
+    return _fill_active(_edges(spans.where("first <= last"), window_ms, delta=F.col("n")), window_ms)
+
+
+def interval_rows_of_spans(spans: DataFrame, window_ms: int = HALF_MINUTE_MS) -> DataFrame:
+    """``active_interval_rows`` from folded calls (``first, last, n, max_ts, max_ingest_ms``)."""
+    blocks = (
+        cover_windows(spans.withColumns({"start_ts": F.col("first"), "end_ts": F.col("last")}), window_ms)
+        .groupBy("level", "node")
+        .agg(F.sum("n").alias("n"), F.max("max_ts").alias("max_ts"), F.max("max_ingest_ms").alias("max_ingest_ms"))
+    )
+    return (
+        spread_cover(blocks, window_ms, "window_start_ms")
+        .groupBy("window_start_ms")
+        .agg(
+            F.sum("n").alias("count"),
+            F.max("max_ts").alias("max_ts"),
+            F.lit("end").alias("max_type"),
+            F.max("max_ingest_ms").alias("max_ingest_ms"),
+        )
+    )
+
+
 def starts_by_window_id(calls: DataFrame, window_ms: int = FIVE_MINUTES_MS) -> DataFrame:
     """Calls started per numbered window: ``WindowID, ActiveCalls``."""
     return calls.groupBy(bucket("start_ts", window_ms).alias("WindowID")).agg(

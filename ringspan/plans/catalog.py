@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ringspan.functions.time import (
     FIVE_MINUTES_MS,
@@ -33,7 +34,8 @@ from ringspan.operators import (
 from ringspan.session import work_folder
 from ringspan.sources import files, replay
 from ringspan.sources.derived import calls_from, calls_table, events_table, table_stream
-from ringspan.streaming import run, windows
+from ringspan.streaming import batches, run, windows
+from ringspan.streaming.progress import ProgressLog
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,9 +54,15 @@ ARRIVAL_DAYS = 5
 # are taken in the order they were written.
 FILES_PER_BATCH = 1_000
 
-# Longest call of the derived table is 5,880,240 ms.
-CALL_DELAY = "2 hours"
-EVENT_DELAY = "2 hours"
+# Disorder of a table stored by the start of its calls, and of lots that arrive in time order.
+CALL_DELAY = "1 minute"
+LOT_DELAY = "2 seconds"
+# Second copies of calls follow after so many minutes at most.
+RESENT_MINUTES = 5
+# Every fortieth call arrives so many lots late.
+LATE_EVERY, LATE_LOTS = 40, 2
+# Micro-batches of the replay.
+REPLAY_BATCHES = 5
 FAR_FUTURE_MS = 4_102_444_800_000
 
 
@@ -471,42 +479,82 @@ def _event_stream(spark, folder):
     return pairing.calls_to_events(_call_stream(spark, folder))
 
 
-def _start_counts(events: DataFrame) -> DataFrame:
-    return _starts_in_ms(
-        active.starts_per_window(_arrivals(events, "event_ts", 700), delay=EVENT_DELAY)
-    )
+def _event_delay(calls: DataFrame) -> str:
+    """Both events of a call come with its row, so they are out of order by the longest call."""
+    longest = calls.agg(F.max(F.col("end_ts") - F.col("start_ts"))).first()[0] or 0
+    return f"{longest + 60_000} milliseconds"
+
+
+def _start_counts(events: DataFrame, delay: str) -> DataFrame:
+    return _starts_in_ms(active.starts_per_window(_arrivals(events, "event_ts", 700), delay=delay))
 
 
 def stream_starts_per_window(spark, folder):
-    return _drained(spark, "starts", _event_stream(spark, folder), _start_counts)[0]
+    delay = _event_delay(calls_table(spark, folder))
+    return _drained(
+        spark, "starts", _event_stream(spark, folder), lambda events: _start_counts(events, delay)
+    )[0]
 
 
 def stream_active_distinct(spark, folder):
-    return _drained(
+    """Calls folded by their first and last window while they stream; then the counts of all windows."""
+    spans, _ = _drained(
         spark,
         "active",
         _call_stream(spark, folder),
-        lambda calls: windows.stream_active_distinct(calls, CALL_DELAY),
-    )[0]
+        lambda calls: windows.stream_spans(
+            windows.stream_sent_once(calls, CALL_DELAY, "start_ts"), None
+        ),
+    )
+    return active.active_of_spans(spans)
+
+
+def reconcile_stream_batch(spark, folder):
+    """Windows where the counts of a stream of calls differ from those of stored pairs of events."""
+    pairs = active.active_pairs(events_table(spark, folder))
+    return reconcile.reconcile(
+        pairs, stream_active_distinct(spark, folder), ["WindowStart"], "ActiveCalls"
+    )
 
 
 def stream_interval_rows(spark, folder):
-    return _drained(
+    spans, _ = _drained(
         spark,
         "intervals",
         _call_stream(spark, folder),
-        lambda calls: windows.stream_interval_rows(
-            _arrivals(calls, "end_ts", 500).drop("rate_ts"), CALL_DELAY
+        lambda calls: windows.stream_spans(
+            _arrivals(calls, "end_ts", 500).drop("rate_ts"), CALL_DELAY, time="start_ts"
         ),
-    )[0]
+    )
+    return active.interval_rows_of_spans(spans)
+
+
+def stream_resent_calls(spark, folder):
+    """Every call is sent twice, minutes apart, and counted once."""
+
+    def sent_twice(calls: DataFrame) -> DataFrame:
+        minutes = F.col("copy") * (1 + F.coalesce(F.col("unique_id") % RESENT_MINUTES, F.lit(0)))
+        return calls.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn(
+            "sent_ts", F.col("start_ts") + 60_000 * minutes
+        )
+
+    delay = f"{2 * RESENT_MINUTES} minutes"
+    spans, _ = _drained(
+        spark,
+        "resent",
+        _call_stream(spark, folder),
+        lambda calls: windows.stream_spans(windows.stream_sent_once(sent_twice(calls), delay, "sent_ts"), None),
+    )
+    return active.active_of_spans(spans)
 
 
 def stream_window_deltas(spark, folder):
+    delay = _event_delay(calls_table(spark, folder))
     return _drained(
         spark,
         "deltas",
         _event_stream(spark, folder),
-        lambda events: windows.stream_window_deltas(events, EVENT_DELAY),
+        lambda events: windows.stream_window_deltas(events, delay),
     )[0]
 
 
@@ -522,38 +570,168 @@ def stream_materialized_calls(spark, folder):
     return spark.read.schema(calls.schema).parquet(f"{path}/out")
 
 
-def _arriving(spark, folder, name) -> tuple[DataFrame, list]:
-    """Calls appended to a table by a stream, some days of ends per micro-batch, however the table is stored."""
+def _lots(rows: DataFrame, lot: Column, path: str) -> list[DataFrame]:
+    """The rows by the lot they arrive in, in order: written once, by ranges, so a lot may be many files."""
+    stored = rows.withColumn("lot", lot).repartitionByRange("lot", F.xxhash64(*rows.columns))
+    stored.write.partitionBy("lot").parquet(f"{path}/lots")
+    kept = rows.sparkSession.read.schema(f"{rows.schema.toDDL()}, lot long").parquet(f"{path}/lots")
+    # As many numbers as lots of days in the time covered.
+    numbers = sorted(row[0] for row in kept.select("lot").distinct().collect())
+    return [kept.where(F.col("lot") == number).drop("lot") for number in numbers]
+
+
+def _five_days(time: str) -> Column:
+    return bucket(time, ARRIVAL_DAYS * 86_400_000)
+
+
+def _arriving(
+    rows: DataFrame, lot: Column, path: str, start: Callable[[DataFrame, int], StreamingQuery], flush: bool = True
+) -> None:
+    """Run a stream over rows that arrive lot by lot: each lot is appended to the folder that the stream reads,
+    and the stream is resumed from its checkpoint and takes the lot as one micro-batch.
+
+    ``start`` gets the stream and the number of the run. With ``flush`` a last lot of one far row closes all windows.
+    """
+    spark = rows.sparkSession
+    lots = _lots(rows.where(lot.isNotNull()), lot, path)
+    if flush:
+        lots.append(spark.createDataFrame([_far_row(rows)], rows.schema))
+    for number, part in enumerate(lots):
+        part.write.mode("append").parquet(f"{path}/in")
+        start(spark.readStream.schema(rows.schema).parquet(f"{path}/in"), number).awaitTermination()
+
+
+def _plain_calls(spark, folder) -> DataFrame:
+    return calls_table(spark, folder).select("unique_id", "start_ts", "end_ts")
+
+
+def stream_resumed(spark, folder):
+    """The folded calls of a stream that is stopped and resumed after each lot, with more input and another number
+    of state partitions each time."""
+    path = work_folder(spark, "resumed")
+
+    def start(calls: DataFrame, number: int) -> StreamingQuery:
+        spans = windows.stream_spans(calls, LOT_DELAY)
+        return run.materialize_stream(spans, f"{path}/out", f"{path}/checkpoint", state_partitions=2 + number)
+
+    _arriving(_plain_calls(spark, folder), _five_days("end_ts"), path, start)
+    spans = spark.read.schema("first long, last long, n long, max_ts long").parquet(f"{path}/out")
+    return active.active_of_spans(spans)
+
+
+def stream_running_total(spark, folder):
+    """Calls open at the end of each window, as rows that appear while the stream runs."""
+    path = work_folder(spark, "totals")
+
+    def start(events: DataFrame, _: int) -> StreamingQuery:
+        deltas = windows.stream_window_deltas(events, LOT_DELAY)
+        return batches.each_batch(
+            deltas, batches.running_totals(path), f"{path}/checkpoint", state_partitions=spark.sparkContext.defaultParallelism
+        )
+
+    events = pairing.calls_to_events(_plain_calls(spark, folder))
+    _arriving(events, _five_days("event_ts"), path, start)
+    return spark.read.parquet(f"{path}/totals").drop("batch_id")
+
+
+def stream_timed_windows(spark, folder):
+    """Windows emitted by event-time timers, with the number of each emission among its window's."""
+    path = work_folder(spark, "timed")
+
+    def start(calls: DataFrame, _: int) -> StreamingQuery:
+        timed = windows.stream_timed_windows(_arrivals(calls, "end_ts", 500).drop("rate_ts"), LOT_DELAY)
+        return run.materialize_stream(
+            timed, f"{path}/out", f"{path}/checkpoint", state_partitions=spark.sparkContext.defaultParallelism
+        )
+
+    _arriving(_plain_calls(spark, folder), _five_days("end_ts"), path, start)
+    window = Window.partitionBy("window_start_ms")
+    return (
+        spark.read.schema(windows.TIMED)
+        .parquet(f"{path}/out")
+        .withColumn("emission", F.row_number().over(window.orderBy("timer_ts")))
+        .withColumn("emissions", F.count("*").over(window))
+    )
+
+
+def stream_late_corrections(spark, folder):
+    """Window rows that late calls correct after they were published: the last version of each closed window."""
+    path = work_folder(spark, "corrections")
+
+    def start(calls: DataFrame, _: int) -> StreamingQuery:
+        rows = _arrivals(calls, "end_ts", 500).drop("rate_ts")
+        return batches.each_batch(rows, batches.corrected_windows(path), f"{path}/checkpoint")
+
+    late = F.when(F.col("unique_id") % LATE_EVERY == 7, LATE_LOTS).otherwise(0)
+    _arriving(_plain_calls(spark, folder), _five_days("end_ts") + late, path, start, flush=False)
+    return batches.latest_versions(spark.read.parquet(f"{path}/versions"))
+
+
+def _analysed(spark, folder, name, started: bool) -> DataFrame:
     path = work_folder(spark, name)
-    calls = calls_table(spark, folder).select("unique_id", "start_ts", "end_ts")
-    lot = bucket("end_ts", ARRIVAL_DAYS * 86_400_000)
-    lots = [row[0] for row in calls.select(lot.alias("lot")).distinct().orderBy("lot").collect()]
-    for number in lots:  # one file each, in this order
-        calls.where(lot == number).coalesce(1).write.mode("append").parquet(f"{path}/in")
-    stream = spark.readStream.schema(calls.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
-    timed = stream.withColumn("event_time", to_timestamp("end_ts")).withWatermark("event_time", "1 second")
-    stamped = timed.withColumn("rate_ts", to_timestamp(F.col("end_ts") + F.col("unique_id") % 500))
-    return run.run_to_end(run.stamp_arrival(stamped), f"{path}/out", f"{path}/checkpoint")
+
+    def start(calls: DataFrame, _: int) -> StreamingQuery:
+        stamped = calls.withColumn("rate_ts", to_timestamp(F.col("end_ts") + F.col("unique_id") % 500))
+        act = batches.due_analysis(path, started=started)
+        return batches.each_batch(stamped, act, f"{path}/checkpoint")
+
+    _arriving(_plain_calls(spark, folder), _five_days("end_ts"), path, start, flush=False)
+    return spark.read.parquet(f"{path}/snapshots").drop("batch_id")
 
 
 def stream_watermark_snapshots(spark, folder):
-    """A growing table analysed at each due watermark of the stream that fills it, over the rows so far."""
-    table, progress = _arriving(spark, folder, "snapshots")
-    return run.due_snapshots(table, progress)
+    """A growing table analysed at each due watermark of the stream that fills it, while it runs."""
+    return _analysed(spark, folder, "snapshots", False)
 
 
 def stream_watermark_snapshots_started(spark, folder):
-    table, progress = _arriving(spark, folder, "snapshots-started")
-    return _rate_in_ms(run.due_snapshots(table, progress, started=True))
+    return _rate_in_ms(_analysed(spark, folder, "snapshots-started", True))
+
+
+def stream_replayed_starts(spark, folder):
+    """Ticks of a counter drive a stored table of events through the window counts, as it would arrive."""
+    path = work_folder(spark, "replay")
+    events = pairing.calls_to_events(_plain_calls(spark, folder))
+    numbered = prep.assign_sequence_id(events, ["event_ts", "unique_id", "event_type"], f"{path}/numbered")
+    n = numbered.count()
+    far = spark.createDataFrame([_far_row(events)], events.schema).withColumn("id", F.lit(n).cast("long"))
+    numbered.unionByName(far).write.parquet(f"{path}/table")
+    table = spark.read.schema(numbered.schema).parquet(f"{path}/table")
+    rows = -(-(n + 1) // REPLAY_BATCHES)
+    ticks = replay.tick_stream(spark, rows).where(F.col("value") <= n)
+    counts = _start_counts(replay.replay_join(ticks, table, rows=n + 1).drop("rate_ts"), LOT_DELAY)
+    query = run.materialize_stream(
+        counts,
+        f"{path}/out",
+        f"{path}/checkpoint",
+        every="0 seconds",
+        state_partitions=spark.sparkContext.defaultParallelism,
+    )
+    # One more micro-batch emits what the last rows have closed.
+    run.run_batches(query, REPLAY_BATCHES + 2)
+    return spark.read.schema(counts.schema).parquet(f"{path}/out")
 
 
 def stream_progress(spark, folder):
-    """Totals over the progress reports of the stream of window starts."""
-    _, progress = _drained(spark, "progress", _event_stream(spark, folder), _start_counts)
-    return run.progress_table(spark, progress).agg(
-        (F.sum("input_rows") - 1).alias("input_rows"),  # without the row that closes the windows
-        F.sum("late_rows").alias("late_rows"),
-    )
+    """Totals over the progress reports of the stream of window starts, as a listener has put them in a table."""
+    log = ProgressLog(spark, work_folder(spark, "progress-log"))
+    delay = _event_delay(calls_table(spark, folder))
+    path = work_folder(spark, "progress")
+    spark.streams.addListener(log)
+    try:
+
+        def start(calls: DataFrame, _: int) -> StreamingQuery:
+            counts = _start_counts(pairing.calls_to_events(calls), delay)
+            query = run.materialize_stream(counts, f"{path}/out", f"{path}/checkpoint", state_partitions=4)
+            query.awaitTermination()
+            if not log.settled(query):
+                raise TimeoutError("the listener has not heard of the end of the query")
+            return query
+
+        _arriving(_plain_calls(spark, folder), _five_days("end_ts"), path, start, flush=False)
+    finally:
+        spark.streams.removeListener(log)
+    return log.read().agg(F.sum("input_rows").alias("input_rows"), F.sum("late_rows").alias("late_rows"))
 
 
 ALL: tuple[Query, ...] = (
@@ -615,6 +793,13 @@ ALL: tuple[Query, ...] = (
     stream_watermark_snapshots,
     stream_watermark_snapshots_started,
     stream_progress,
+    stream_resent_calls,
+    stream_resumed,
+    stream_running_total,
+    stream_timed_windows,
+    stream_late_corrections,
+    stream_replayed_starts,
+    reconcile_stream_batch,
 )
 
 QUERIES: dict[str, Query] = {query.__name__: _utc(query) for query in ALL}

@@ -60,8 +60,8 @@ def events_table(spark: SparkSession, folder: str) -> DataFrame:
 def table_stream(
     spark: SparkSession, folder: str, files_per_trigger: int | None = None
 ) -> DataFrame:
-    """The same table as a file stream. The glob also matches a table that is a single file."""
+    """The same table as a file stream. The name is written as a pattern, as a stream takes a single file only so."""
     reader = spark.readStream.schema(EVENT_TABLE)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(f"{folder}/events*.parquet")
+    return reader.parquet(f"{folder}/events.parque[t]")

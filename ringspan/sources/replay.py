@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 
 from ringspan.schema import require_columns
 
-# Rows up to which the stored table is broadcast: call and event rows are about 100 bytes, so this is
-# some 20 MB. Above it the join shuffles.
-BROADCAST_ROWS = 200_000
-
 
 def rate_stream(spark: SparkSession, rows_per_second: int = 10_000) -> DataFrame:
     """``timestamp, value``: an endless counter with arrival times."""
@@ -22,6 +18,19 @@ def rate_stream(spark: SparkSession, rows_per_second: int = 10_000) -> DataFrame
     )
 
 
+def tick_stream(spark: SparkSession, rows_per_batch: int, start_ms: int = 0, step_ms: int = 1_000) -> DataFrame:
+    """``timestamp, value``: the same counter in micro-batches of a fixed size, at a clock of its own that moves
+    ``step_ms`` with each of them. What a micro-batch holds depends on its number alone, so a replay can be repeated.
+    """
+    return (
+        spark.readStream.format("rate-micro-batch")
+        .option("rowsPerBatch", rows_per_batch)
+        .option("startTimestamp", start_ms)
+        .option("advanceMillisPerBatch", step_ms)
+        .load()
+    )
+
+
 def replay_join(
     rate: DataFrame,
     table: DataFrame,
@@ -32,8 +41,9 @@ def replay_join(
     """Give each tick of ``rate`` (``timestamp, value``) the table row with ``id = value % n + offset``.
 
     Ids are dense from 0, so offset 0 replays the whole table; ``how="left"`` with offset 1 is the
-    variant in which the last key finds no row. ``n`` is counted once unless given. The table is
-    broadcast only when that count shows that it is small. An empty table yields no match.
+    variant in which the last key finds no row. ``n`` is counted once unless given. Spark plans the
+    table's side by its size in bytes: a stored table below ``spark.sql.autoBroadcastJoinThreshold`` is broadcast, a
+    larger one shuffled, in batches and streams alike. An empty table yields no match.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how={how!r}; one of inner, left")
@@ -41,5 +51,4 @@ def replay_join(
     n = table.count() if rows is None else rows
     key = (F.col("value") % F.lit(n) + offset) if n else F.lit(None).cast("long")
     ticks = rate.withColumnRenamed("timestamp", "rate_ts").withColumn("id", key)
-    side = F.broadcast(table) if n <= BROADCAST_ROWS else table
-    return ticks.join(side, "id", how)
+    return ticks.join(table, "id", how)

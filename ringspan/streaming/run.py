@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ringspan.functions.time import SNAPSHOT_DELAY_S, SNAPSHOT_SIZE_S, now_ms
@@ -47,12 +48,20 @@ def materialize_stream(
     step as there were shuffle partitions at the first start. ``state_partitions`` sets that number for
     this query; the default is the session's.
     """
-    writer = (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-    )
+    writer = stream.writeStream.format("parquet").outputMode("append").option("path", path)
+    return start_stream(writer, stream, checkpoint, every, name, state_partitions)
+
+
+def start_stream(
+    writer: DataStreamWriter,
+    stream: DataFrame,
+    checkpoint: str,
+    every: str | None = None,
+    name: str | None = None,
+    state_partitions: int | None = None,
+) -> StreamingQuery:
+    """Start a writer of ``stream`` with the settings of ``materialize_stream``."""
+    writer = writer.option("checkpointLocation", checkpoint)
     if name is not None:
         writer = writer.queryName(name)
     writer = writer.trigger(**({"processingTime": every} if every else {"availableNow": True}))
@@ -170,17 +179,34 @@ def due_snapshots(
 
 def progress_table(spark: SparkSession, progress: Iterable) -> DataFrame:
     """Progress reports (``query.recentProgress``, a bounded list) as a table."""
-    rows = []
-    for report in progress:
-        watermark = (report.eventTime or {}).get("watermark")
-        rows.append(
-            (
-                report.batchId,
-                report.timestamp,
-                watermark,
-                watermark_seconds(watermark),
-                report.numInputRows,
-                _late(report),
-            )
-        )
-    return spark.createDataFrame(rows, PROGRESS)
+    return spark.createDataFrame([report_row(report) for report in progress], PROGRESS)
+
+
+def report_row(report) -> tuple:
+    """The values of ``PROGRESS`` in a report."""
+    watermark = (report.eventTime or {}).get("watermark")
+    return (
+        report.batchId,
+        report.timestamp,
+        watermark,
+        watermark_seconds(watermark),
+        report.numInputRows,
+        _late(report),
+    )
+
+
+def run_batches(query: StreamingQuery, batches: int, limit_s: float = 600) -> None:
+    """Let a query over an endless source finish so many micro-batches, then stop it."""
+    until = time.monotonic() + limit_s
+    try:
+        while True:
+            report = query.lastProgress
+            if report is not None and report.batchId >= batches - 1:
+                return
+            if not query.isActive:
+                raise query.exception() or RuntimeError("the query stopped by itself")
+            if time.monotonic() > until:
+                raise TimeoutError(f"fewer than {batches} micro-batches in {limit_s} s")
+            time.sleep(0.2)
+    finally:
+        query.stop()
