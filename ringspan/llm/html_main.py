@@ -4,6 +4,10 @@ Each page's containers are scored by the text they hold. Pages vote for the gene
 container (tags and classes from the body down, numbers and hashes generalised); votes are summed per host in
 Spark. The winning paths of a host then select the text of all its pages, also of those whose own scores
 mislead. A page on which no winning path has text, or without a host, falls back on its own best container.
+
+A class, id or tag that names something besides the article (a menu, a sidebar, a form) is evidence and no verdict. It
+is weighed against the text that the element holds: one with most of the page's text, or with all there is, stays,
+whatever it is called, and what is marked inside it is judged for itself.
 """
 
 from __future__ import annotations
@@ -29,9 +33,10 @@ _CONTAINERS = frozenset(
 )
 # Tags that are never main text, whose content goes.
 _DROPPED = frozenset(
-    "head nav header footer aside form menu dialog noscript template svg math iframe object video audio canvas "
-    "select button label fieldset".split()
+    "head noscript template svg math iframe object video audio canvas select button label fieldset".split()
 )
+# Tags that mark what is not the article, as classes do.
+_BESIDE = frozenset("nav header footer aside form menu dialog".split())
 _RAW = frozenset("script style textarea title xmp noembed noframes plaintext".split())
 # Tags that begin and end a block of text besides the containers.
 _BLOCKS = frozenset(
@@ -48,6 +53,12 @@ _MARKED = frozenset(
 )
 # Trust put in a container's tag when its text is weighed.
 _TRUST = {"article": 1.5, "main": 1.4, "body": 0.5, "html": 0.1}
+# Marks of an element: none, one that needs most of the page's text against it, one that needs all of it.
+_FREE, _DOUBTFUL, _SURE = 0, 1, 2
+_MOST, _NOTHING = 0.5, 0.02
+# What a character in a link counts beside one outside.
+_LINKED = 0.01
+
 # A path keeps its last steps, so that deep nesting costs no more than the page's length.
 _STEPS = 16
 # What a container's text counts for the container around it.
@@ -77,16 +88,16 @@ def _component(tag: str, attributes: str) -> str:
     return ".".join([tag, *("#" if c.count("#") > 2 else c for c in classes)])
 
 
-def _is_marked(attributes: str) -> bool:
-    """Whether a class, id or role names something besides the article. ``has-sidebar`` and the like don't."""
-    if not attributes or attributes.isspace():
-        return False
-    for found in _MARKS.finditer(attributes):
-        for mark in "".join(filter(None, found.groups())).split():
-            words = [w.lower() for w in _WORDS.findall(mark)]
-            if not _MARKED.isdisjoint(words) and words[0] not in ("has", "no", "with", "without"):
-                return True
-    return _is_hidden(attributes)
+def _mark(attributes: str) -> int:
+    """Whether a class, id or role names something besides the article, and nothing else. ``has-sidebar`` doesn't."""
+    mark = _FREE
+    if attributes and not attributes.isspace():
+        for found in _MARKS.finditer(attributes):
+            for name in "".join(filter(None, found.groups())).split():
+                words = [w.lower() for w in _WORDS.findall(name)]
+                if not _MARKED.isdisjoint(words) and words[0] not in ("has", "no", "with", "without"):
+                    mark = max(mark, _SURE if _MARKED.issuperset(words) else _DOUBTFUL)
+    return mark
 
 
 def _is_hidden(attributes: str) -> bool:
@@ -109,8 +120,11 @@ class Page:
         self.parents = [-1]
         self.paths = [""]
         self.tags = [""]
+        self.marks = [_FREE]
         self.blocks: list[tuple[int, str, int]] = []  # container, text, characters in links
+        self.titled: set[int] = set()  # containers with a main title or a main part in them
         self._read(source)
+        self._judge()
 
     def _read(self, source: str) -> None:
         # Open elements that matter, each with the container that it is or lies in.
@@ -171,7 +185,7 @@ class Page:
                 in_link = True
                 continue
             block_level = name in _BLOCKS
-            if not (block_level or name in _CONTAINERS or name in _DROPPED or name == "span"):
+            if not (block_level or name in _CONTAINERS or name in _DROPPED or name in _BESIDE or name == "span"):
                 continue
             if name != "span":
                 close_block()
@@ -181,7 +195,16 @@ class Page:
                 close_from(1)
             if name in _VOID or (tag[3].endswith("/") and name in ("svg", "iframe", "object")):
                 continue
-            drop = name in _DROPPED or (name not in ("html", "body", "article", "main") and _is_marked(tag[3]))
+            whole = name in ("html", "body", "article", "main")
+            drop = name in _DROPPED or (not whole and _is_hidden(tag[3]))
+            mark = _FREE if drop or whole else _mark(tag[3])
+            if block_level or name == "span":
+                # Too small to hold the article; but a title is one, however it is called.
+                drop = drop or (mark and name != "h1")
+            elif name in _BESIDE and not (name == "header" and (opened["article"] > 0 or opened["main"] > 0)):
+                mark = _SURE
+            if name in ("h1", "main") and not dropped:
+                self.titled.add(stack[-1][1])
             if (block_level or name == "span") and not drop:
                 continue
             inside = stack[-1][1]
@@ -193,6 +216,7 @@ class Page:
                     above = above.split("/", 1)[1]
                 self.paths.append(f"{above}/{step}" if above else step)
                 self.tags.append(name)
+                self.marks.append(mark)
                 inside = len(self.parents) - 1
             stack.append((name, inside))
             opened[name] += 1
@@ -200,6 +224,34 @@ class Page:
                 dropped = len(stack) - 1
         close_block()
 
+    def _judge(self) -> None:
+        """Leave out the blocks of marked containers, but for those that hold the page's text."""
+        if not any(self.marks):
+            return
+        size = len(self.parents)
+        held, titled = [0.0] * size, [at in self.titled for at in range(size)]
+        for container, text, linked in self.blocks:
+            held[container] += max(0, len(text) - linked) + _LINKED * len(text)
+        for at in range(size - 1, 0, -1):
+            held[self.parents[at]] += held[at]
+            titled[self.parents[at]] |= titled[at]
+        # A title speaks against the surest mark.
+        marks = [_DOUBTFUL if mark and title else mark for mark, title in zip(self.marks, titled)]
+
+        below, most = [False] * size, held[0]
+        for at in range(1, size):
+            below[at] = below[self.parents[at]]
+            if marks[at] == _SURE and not below[at]:
+                below[at] = True
+                most -= held[at]
+        if most <= _NOTHING * held[0]:  # all that there is is surely beside it, so nothing is sure
+            marks, most = [min(mark, _DOUBTFUL) for mark in marks], held[0]
+        gone = [False] * size
+        for at in range(1, size):
+            doubtful = marks[at] == _DOUBTFUL and held[at] < _MOST * most
+            gone[at] = gone[self.parents[at]] or marks[at] == _SURE or doubtful
+        self.blocks = [block for block in self.blocks if not gone[block[0]]]
+
     def best(self) -> int:
         """The container with the most text of its own and, less and less, of the containers in it."""
         scores = [0.0] * len(self.parents)

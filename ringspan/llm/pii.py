@@ -206,7 +206,8 @@ def spelled_digits(text: Aligned) -> Aligned:
     return text.rewritten(edits)
 
 
-_OPEN, _CLOSE = r"[ \t]*[(\[{<][ \t]*", r"[ \t]*[)\]}>][ \t]*"
+# A match begins at its bracket; the blanks before it are taken in afterwards, so that long white space is read once.
+_OPEN, _CLOSE = r"[(\[{<][ \t]*", r"[ \t]*[)\]}>][ \t]*"
 _AT_WORD, _DOT_WORD = r"(?:at|arroba|chez|ät)", r"(?:dot|punkt|punto|point)"
 _LABEL = r"[A-Za-z0-9-]{1,63}"
 # Last parts of a domain for which a bare "at" and "dot" are believed to spell an address.
@@ -227,9 +228,12 @@ _HAS_DOT_WORD = re.compile(rf"[ \t]{_DOT_WORD}[ \t]", re.IGNORECASE)
 def written_signs(text: Aligned) -> Aligned:
     """``name (at) host [dot] org``, ``name at host dot org`` and ``1 dot 2 dot 3 dot 4`` with the signs."""
     if any(mark in text.text for mark in "([{<"):
-        text = text.rewritten(
-            (m.start(), m.end(), "@" if m[1] else ".") for m in _BRACKETED.finditer(text.text)
-        )
+        edits, done = [], 0
+        for sign in _BRACKETED.finditer(text.text):
+            start = done + len(text.text[done : sign.start()].rstrip(" \t"))
+            edits.append((start, sign.end(), "@" if sign[1] else "."))
+            done = sign.end()
+        text = text.rewritten(edits)
     if not _HAS_DOT_WORD.search(text.text):
         return text
     edits = []

@@ -1,6 +1,8 @@
 """Personal data, page extraction and benchmark passages against plain versions."""
 
 import re
+import time
+from html.parser import HTMLParser
 
 import pytest
 
@@ -210,3 +212,89 @@ def test_hidden_containers(attributes, shown):
     words = "Text of the article that is long enough to win the page. " * 4
     source = f"<body><div {attributes}><p>{words}</p></div><div><p>Other words.</p></div></body>"
     assert (words.strip() in html_main.Page(source).main_text(())) == shown
+
+
+ARTICLE = "<h1>T</h1><p>" + "Some words of the article here. " * 8 + "</p>"
+CLASSES = [
+    "main-content right-sidebar", "layout-with-sidebar", "post-header", "entry-content share-enabled", "legal",
+    "row comments-open", "site header-sticky", "story",
+]
+
+
+@pytest.mark.parametrize("name", CLASSES)
+@pytest.mark.parametrize("before", ["", "<nav><a href=x>Menu</a> and more</nav>", "<p>Stray line</p>"])
+def test_an_article_stays_whatever_its_wrapper_is_called(name, before):
+    inside = '<div class="share">Share</div>' + ARTICLE + "<footer>me</footer>"
+    shown = html_main.Page(f'<body>{before}<div class="{name}">{inside}</div></body>').main_text(())
+    assert shown == "T\n" + ("Some words of the article here. " * 8).strip()
+
+
+def test_what_is_beside_the_article_goes():
+    comments = "<p>A comment by a reader, as long as the article.</p>" * 30
+    short = "<p>A short article of one paragraph.</p>"
+    for page, wanted in (
+        (f'<div class=post>{short}</div><div class="comments">{comments}</div>', "A short article of one paragraph."),
+        (f"<section id=post>{short}</section><section id=comments>{comments}</section>", "A short article of one paragraph."),
+        (f"<form><nav><a href=1>Home</a></nav><div>{short}</div><footer>me</footer></form>", "A short article of one paragraph."),
+        (f"<article><header><h1>Title</h1></header>{short}<aside>{comments}</aside></article>", "Title\nA short article of one paragraph."),
+        (f"<header><p>Site</p></header><h1 class=page-header>Title</h1>{short}", "Title\nA short article of one paragraph."),
+        ("<nav><p>Only a menu</p></nav>", "Only a menu"),
+    ):
+        assert html_main.Page(f"<html><body>{page}</body></html>").main_text(()) == wanted
+
+
+class _Plain(HTMLParser):
+    """All text outside of elements that are no article by their tag or a class, by the library's parser."""
+
+    BLOCKS = set("body main article section div table tr td ul ol li dl dt dd p h1 h2 h3 h4 br hr blockquote figure".split())
+    BESIDE = set("head nav header footer aside form script style noscript button label".split())
+    VOID = set("br hr img input meta link".split())
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.open, self.blocks = [], [[]]
+
+    def handle_starttag(self, tag, attrs):
+        if tag in self.BLOCKS:
+            self.blocks.append([])
+        if tag not in self.VOID:
+            names = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v)
+            words = set(names.lower().replace("-", " ").replace("_", " ").split())
+            self.open.append((tag, tag in self.BESIDE or not html_main._MARKED.isdisjoint(words)))
+
+    def handle_endtag(self, tag):
+        if tag in self.BLOCKS:
+            self.blocks.append([])
+        places = [n for n, (name, _) in enumerate(self.open) if name == tag]
+        if places:
+            del self.open[places[-1] :]
+
+    def handle_data(self, data):
+        if not any(beside for _, beside in self.open):
+            self.blocks[-1].append(data)
+
+
+def test_given_pages_by_the_library_parser(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    got = {r["page_id"]: r["text"] for r in html_main.extract_main_text(pages).collect()}
+    for row in pages.collect():
+        plain = _Plain()
+        plain.feed(row["html"] or "")
+        plain.close()
+        blocks = [" ".join("".join(block).split()) for block in plain.blocks]
+        assert got[row["page_id"]] == "\n".join(filter(None, blocks))
+
+
+def test_time_is_in_proportion_to_white_space():
+    def seconds(n):
+        began = time.perf_counter()
+        pii.find_spans("see [x] a" + " " * n + "b (at) c" + "\t " * n + "[ dot")
+        return time.perf_counter() - began
+
+    seconds(1_000)
+    assert seconds(400_000) < 2
+
+
+def test_brackets_take_the_blanks_round_them():
+    spans = pii.find_spans("write to jo   ( at )  mail\t[dot] org, please")
+    assert [(a, b, plain) for a, b, _, plain in spans] == [(9, 36, False)]
