@@ -252,31 +252,32 @@ def test_similar_lines(spark):
 
 
 def _all_blocks(spark, lines):
-    """SimHashes of the windows of three words, and the words' hashes."""
+    """Per line the SimHashes of all its windows, and of every word its hash."""
     rows = [(n, _normal(line).split(" ")) for n, line in enumerate(lines)]
     frame = spark.createDataFrame([(n, words, len(words)) for n, words in rows], "n int, words array<string>, size int")
-    hashes, windows = line_dedup._blocks()
-    frame = frame.withColumn("hashes", F.expr(hashes)).withColumn("windows", F.expr(windows))
-    return {r["n"]: (r["hashes"], r["windows"]) for r in frame.collect()}
+    got = frame.select("n", F.expr(line_dedup._blocks(1 << 20)).alias("blocks")).collect()
+    words = frame.select(F.explode("words").alias("w")).distinct().select("w", F.xxhash64("w").alias("h")).collect()
+    return {r["n"]: set(r["blocks"]) for r in got}, {r["w"]: r["h"] for r in words}
 
 
 def test_simhash_of_windows_by_brute_force(spark):
-    lines = ["alpha beta gamma delta epsilon", "a b c d e", "one two two three one", " ".join(f"w{n}" for n in range(30_000))]
-    for hashes, windows in _all_blocks(spark, lines).values():
-        assert len(windows) == len(hashes) - 2
-        for at, got in enumerate(windows[:500]):
-            three = hashes[at : at + 3]
-            if len(set(three)) == 3:
-                assert got == sum(1 << bit for bit in range(63) if sum(h >> bit & 1 for h in three) >= 2)
-            else:
-                assert got not in three
+    lines = ["alpha beta gamma delta epsilon", "a b c d", "one two two three one one", " ".join(f"w{n}" for n in range(3000))]
+    blocks, hashes = _all_blocks(spark, lines)
+    for n, line in enumerate(lines):
+        words = line.split(" ")
+        want = set()
+        for at in range(len(words) - 3):
+            four = [hashes[w] for w in words[at : at + 4]]
+            bits = sum(1 << bit for bit in range(64) if sum(h >> bit & 1 for h in four) > 2)
+            want.add(bits - (bits >> 63 << 64))
+        assert blocks[n] == want
 
 
 def test_an_edit_leaves_other_blocks(spark):
     words = [f"word{n}" for n in range(40)]
     lines = [" ".join(words), " ".join([*words[:20], "other", *words[21:]])]
-    (_, one), (_, two) = _all_blocks(spark, lines).values()
-    assert len(set(one) & set(two)) == 35
+    blocks, _ = _all_blocks(spark, lines)
+    assert len(blocks[0]) == 37 and len(blocks[0] & blocks[1]) == 33
 
 
 @pytest.mark.parametrize("others", [100, 400])
@@ -285,7 +286,7 @@ def test_lines_under_a_hot_key(spark, others):
     rng = random.Random(others)
     letters = "abcdefghijklmnopqrstuvwxyz"
     word = lambda: "".join(rng.choices(letters, k=6))
-    shared = "zzzzzzzzzz yyyyyyyyyy xxxxxxxxxx"
+    shared = "zzzzzzzzzz yyyyyyyyyy xxxxxxxxxx wwwwwwwwww vvvvvvvvvv uuuuuuuuuu"
     lines = [f"{shared} {' '.join(word() for _ in range(10))}" for _ in range(others)]
     base = f"{shared} {' '.join(word() for _ in range(10))}"
     lines += [base, f"{base[:-6]}{word()}", f"{base[:-6]}{word()}", base.upper()]
