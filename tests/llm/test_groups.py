@@ -233,6 +233,26 @@ def _similar(x, y):
     return _distance(x, y) <= 0.2 * max(len(x), len(y))
 
 
+def test_sketches_never_rule_out_what_is_shared():
+    rng = np.random.default_rng(11)
+    for size in (1, 5, 64, 65, 500, 3000):
+        for share in (0.0, 0.5, 0.9, 1.0):
+            x = np.unique(rng.integers(0, 1 << 62, size))
+            y = np.concatenate([x[: int(share * len(x))], rng.integers(0, 1 << 62, rng.integers(0, size + 1))])
+            y = np.unique(np.append(y, x[0]))
+            shared = len(np.intersect1d(x, y))
+            most = jaccard._most_shared(jaccard._sketch(x), jaccard._sketch(y))
+            assert shared <= most <= min(len(x), len(y))
+    # Counters that don't hold their counts say nothing.
+    alike = np.arange(5000) << 20
+    for other in (alike, alike[:4500], np.arange(4000)):
+        shared = len(np.intersect1d(alike, other))
+        assert shared <= jaccard._most_shared(jaccard._sketch(alike), jaccard._sketch(other))
+    # Different sets of some size are ruled out.
+    x, y = rng.integers(0, 1 << 62, (2, 2000))
+    assert jaccard._most_shared(jaccard._sketch(x), jaccard._sketch(y)) < 0.8 * 2000
+
+
 def test_similar_lines(spark):
     """All pairs by edit distance, without any filter of the operator's own."""
     lines = _similar_lines()
