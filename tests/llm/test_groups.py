@@ -49,6 +49,23 @@ def test_filter_loses_nothing(spark):
     assert HashFilter(np.full(1 << 22, 255, np.uint8)).has(np.arange(100)).all()
 
 
+def test_arrays_are_added_up_in_few_jobs(spark):
+    """However many partitions a shuffle has: jobs that follow each other do not get shorter with more machines."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.sparkContext.setJobGroup("arrays", "arrays")
+    try:
+        found = hash_filter(spark.range(0, 50_000, 7).select("id"))
+        assert found.has(np.arange(0, 50_000, 7)).all()
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("arrays")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert 0 < len(jobs) < 10
+
+
 # --- vectors -------------------------------------------------------------------------------------------------
 
 
