@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -270,6 +271,55 @@ def test_sketches_never_rule_out_what_is_shared():
     assert jaccard._most_shared(jaccard._sketch(x), jaccard._sketch(y)) < 0.8 * 2000
 
 
+def test_only_wanted_texts_are_taken_apart(monkeypatch):
+    """The sets of a few candidates must not cost shingles of the whole table."""
+    looked_at = []
+    sets = jaccard._sets
+
+    def counted(column, size, classes):
+        looked_at.extend(column.to_pylist())
+        return sets(column, size, classes)
+
+    monkeypatch.setattr(jaccard, "_sets", counted)
+    texts = [" ".join(f"w{n}x{k}" for k in range(30)) for n in range(50)]
+    batch = pa.RecordBatch.from_pydict({"text": texts, "body": list(range(50))})
+    wanted = HashFilter(np.zeros(1 << 22, np.uint8))
+    for places in wanted.places(np.array([3, 41])):
+        np.bitwise_or.at(wanted.bits, places >> 3, np.uint8(1) << (places & 7).astype(np.uint8))
+    classes = np.zeros(2 << 21, np.uint8)
+    got = list(jaccard._members(iter([batch]), 5, classes, wanted))
+    assert looked_at == [texts[3], texts[41]]
+    found = [np.frombuffer(m, np.int64) for b in got for m in b.column("members").to_pylist()]
+    assert [len(m) for m in found] == [26, 26]
+
+
+def test_postings_are_the_prefixes_of_sets():
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{n}" for n in rng.integers(0, 40, size)) for size in (1, 3, 5, 60, 200, 60)]
+    texts = [texts[0], "", *texts[1:], texts[3]]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(8)), "body": list(range(8)), "text": texts})
+    classes = rng.integers(0, 9, 2 << 21).astype(np.uint8)
+    (rows,) = jaccard._row_nodes(iter([batch]), 5, classes, 80)
+    # A text without words has no node; a set that a task has met has its prefix once.
+    assert rows.column("node").null_count == 1 and rows.column("prefix").null_count == 2
+    assert rows.column("node")[4] == rows.column("node")[7]
+    firsts = rows.filter(rows.column("prefix").is_valid())
+    firsts = firsts.select(["node", "n_shingles", "prefix"]).rename_columns(["node", "size", "prefix"])
+    want = {}
+    for row, shingles in jaccard._sets(pa.array(texts), 5, classes):
+        assert (np.diff(shingles) > 0).all()
+        least = -(-80 * len(shingles) // 100)
+        want[jaccard._node(shingles)] = shingles[: len(shingles) - least + 1].tolist()
+    got = {}
+    # Slices of a batch begin behind its first bytes.
+    for part in (firsts.slice(0, 2), firsts.slice(2)):
+        for out in jaccard._postings(iter([part])):
+            for shingle, node, place in zip(*(out.column(c).to_pylist() for c in ("shingle", "node", "place"))):
+                assert place == len(got.setdefault(node, []))
+                got[node].append(shingle)
+    assert got == want
+
+
 def test_similar_lines(spark):
     """All pairs by edit distance, without any filter of the operator's own."""
     lines = _similar_lines()
