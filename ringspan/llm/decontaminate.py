@@ -13,13 +13,14 @@ in the same tasks, with no shuffle.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ringspan.llm.common import documents_of, merge_intervals, small_batches
 
@@ -190,9 +191,20 @@ def find_contamination(
 
 
 def _through_blocks(
-    rows: DataFrame, items: DataFrame, item_id_col: str, item_text_col: str, window: int, block_words: int
+    rows: DataFrame,
+    items: DataFrame,
+    item_id_col: str,
+    item_text_col: str,
+    window: int,
+    block_words: int,
+    then: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]] | None = None,
+    shape: StructType | None = None,
 ) -> DataFrame:
-    """``rows`` (with a column ``text``) and the columns ``n_words``, ``hits`` and ``items`` behind."""
+    """``rows`` (with a column ``text``) and the columns ``n_words``, ``hits`` and ``items`` behind.
+
+    ``then`` makes rows of ``shape`` of these. All of it is one function, as a task has a worker for each function
+    that follows another.
+    """
     found = rows.select(
         "*",
         F.lit(None).cast("int").alias("n_words"),
@@ -203,10 +215,14 @@ def _through_blocks(
     context = rows.sparkSession.sparkContext
     # Without any item one pass still counts the words.
     blocks = item_blocks(items, item_id_col, item_text_col, window, block_words)
-    for automaton in chain([next(blocks, Automaton([], window))], blocks):
-        shared = context.broadcast(automaton)
-        found = found.mapInArrow(lambda batches, shared=shared: _scan(batches, shared.value), schema)
-    return found
+    shared = [context.broadcast(block) for block in chain([next(blocks, Automaton([], window))], blocks)]
+
+    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in shared:
+            batches = _scan(batches, block.value)
+        return then(batches) if then else batches
+
+    return found.mapInArrow(scan, shape or schema)
 
 
 def _scan(batches: Iterable[pa.RecordBatch], automaton: Automaton) -> Iterator[pa.RecordBatch]:
@@ -271,7 +287,6 @@ def decontaminate(
     # The whole row travels as one value, so no column name can clash.
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"), whole.alias("row"))
-    found = _through_blocks(rows, items, item_id_col, item_text_col, window, block_words)
     text_at = shape.names.index(text_col)
     chars_at = shape.names.index("n_chars") if "n_chars" in shape.names else None
     if chars_at is not None and shape["n_chars"].dataType.typeName() not in ("long", "integer"):
@@ -296,7 +311,7 @@ def decontaminate(
                 _replace(columns, chars_at, {at: len(text) for at, text in changed.items()})
             yield pa.RecordBatch.from_arrays(columns, names=shape.names).take(pa.array(keep, pa.int64()))
 
-    return found.mapInArrow(clean, shape)
+    return _through_blocks(rows, items, item_id_col, item_text_col, window, block_words, clean, shape)
 
 
 def _replace(columns: list[pa.Array], column: int, changed: dict) -> None:

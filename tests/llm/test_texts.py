@@ -298,3 +298,13 @@ def test_time_is_in_proportion_to_white_space():
 def test_brackets_take_the_blanks_round_them():
     spans = pii.find_spans("write to jo   ( at )  mail\t[dot] org, please")
     assert [(a, b, plain) for a, b, _, plain in spans] == [(9, 36, False)]
+
+
+def test_decontaminate_is_one_python_step(spark):
+    """A task has a Python worker for each step that follows another, and all of them stay with their memory."""
+    docs = spark.createDataFrame([(1, "a b c d e f g h i j k l"), (2, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(f"i{n}", f"w{n} " * 12) for n in range(9)], "item_id string, text string")
+    for result in (dc.decontaminate(docs, items, block_words=20), dc.find_contamination(docs, items, block_words=20)):
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("MapInArrow") == 1
+        assert result.count() == 2
