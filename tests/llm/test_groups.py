@@ -2,6 +2,8 @@
 
 import random
 import re
+import time
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +52,26 @@ def test_filter_loses_nothing(spark):
     assert HashFilter(np.full(1 << 22, 255, np.uint8)).has(np.arange(100)).all()
 
 
+def test_shuffles_of_saved_tables_go(spark):
+    env = spark._jvm.org.apache.spark.SparkEnv.get()
+    folders = [Path(d.getPath()) for d in env.blockManager().diskBlockManager().localDirs()]
+
+    def shuffles():
+        return {f.name for folder in folders for f in folder.rglob("shuffle_*.data")}
+
+    before = shuffles()
+    counted = spark.range(1000).withColumn("k", F.col("id") % 7).groupBy("k").count()
+    saved = Scratch(spark, "t").save(counted, "counted")
+    for _ in range(50):
+        if not (left := shuffles() - before):
+            break
+        time.sleep(0.1)
+    assert not left
+    assert saved.count() == 7
+    # Other queries keep what the session says.
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_arrays_are_added_up_in_few_jobs(spark):
     """However many partitions a shuffle has: jobs that follow each other do not get shorter with more machines."""
     before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
