@@ -22,6 +22,8 @@ from ringspan.llm.bpe import encoder
 from ringspan.llm.common import documents_of, small_batches
 
 END_ID = 0
+# Bytes encoded at once. Numbers of pieces and ids take many times as much beside a worker's words.
+BATCH = 1 << 20
 
 FILE_SCHEMA = StructType(
     [
@@ -48,6 +50,27 @@ WRITE_OPTIONS = {
 }
 
 
+def _rows(batches: Iterable[pa.RecordBatch], tokenizer: str, end_id: int, part: int) -> Iterator[pa.RecordBatch]:
+    """The rows of one file."""
+    before = 0
+    for batch in small_batches(batches, BATCH):
+        ids, counts = encoder(tokenizer).encode(batch.column("text").to_pylist())
+        ids = np.insert(ids, np.cumsum(counts), end_id)
+        counts = counts + 1
+        offsets = np.concatenate([[0], np.cumsum(counts)])
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("doc_id"),
+                pa.array(np.full(len(counts), part, np.int32)),
+                pa.array(before + offsets[:-1]),
+                pa.array(counts),
+                pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32())),
+            ],
+            names=FILE_SCHEMA.names,
+        )
+        before += int(offsets[-1])
+
+
 def write_token_files(
     docs: DataFrame,
     path: str,
@@ -65,23 +88,7 @@ def write_token_files(
     ordered = texts.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, before = TaskContext.get().partitionId(), 0
-        for batch in small_batches(batches, 4 << 20):
-            ids, counts = encoder(tokenizer).encode(batch.column("text").to_pylist())
-            ids = np.insert(ids, np.cumsum(counts), end_id)
-            counts = counts + 1
-            offsets = np.concatenate([[0], np.cumsum(counts)])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(np.full(len(counts), part, np.int32)),
-                    pa.array(before + offsets[:-1]),
-                    pa.array(counts),
-                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32())),
-                ],
-                names=FILE_SCHEMA.names,
-            )
-            before += int(offsets[-1])
+        return _rows(batches, tokenizer, end_id, TaskContext.get().partitionId())
 
     ordered.mapInArrow(encode, FILE_SCHEMA).write.options(**WRITE_OPTIONS).parquet(path)
 

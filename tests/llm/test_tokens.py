@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import sentencepiece
@@ -83,6 +84,17 @@ def test_files_have_encodings_and_indexes(spark, tmp_path):
     assert "EqualTo(doc_id,3)" in plan and "tokens" not in plan.split("ReadSchema")[1].split("\n")[0]
 
 
+def test_files_are_encoded_a_little_at_a_time():
+    """A worker holds the numbers and ids of about a megabyte of text, however large its batches are."""
+    texts = [f"word {n} " * 2000 for n in range(400)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(400), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    rows = list(token_files._rows(iter([batch]), BYTE_BPE, 0, 3))
+    assert batch.nbytes > 6 << 20 and max(sum(map(len, texts[r["doc_id"][0].as_py() :][: r.num_rows])) for r in rows) < 1.1 * (1 << 20)
+    counts = [n for r in rows for n in r["n_tokens"].to_pylist()]
+    assert [n for r in rows for n in r["before"].to_pylist()] == [sum(counts[:n]) for n in range(400)]
+    assert [n for r in rows for n in r["doc_id"].to_pylist()] == list(range(400))
+
+
 def test_files_of_an_empty_table(spark, tmp_path):
     empty = spark.createDataFrame([], "doc_id long, text string")
     token_files.write_token_files(empty, f"{tmp_path}/none", BYTE_BPE)
