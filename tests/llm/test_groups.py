@@ -404,6 +404,44 @@ def test_lines_under_a_hot_key(spark, others):
     assert kept == set(range(others + 1))
 
 
+def test_unlike_lines_of_a_common_block_are_no_pairs(spark, monkeypatch):
+    """Lines that share four words in a row and nothing else never become pairs; a similar one among them is found."""
+    rng = random.Random(4)
+    word = lambda size: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=size))
+    lines = [" ".join(["zzzzzzzzzz yyyyyyyyyy xxxxxxxxxx wwwwwwwwww", *(word(6) for _ in range(14))]) for _ in range(200)]
+    lines.append(f"{lines[7][:-6]}{word(6)}")
+    made, save = [], Scratch.save
+
+    def counted(self, df, name):
+        saved = save(self, df, name)
+        if name in ("stars", "across"):
+            made.append(saved.count())
+        return saved
+
+    monkeypatch.setattr(Scratch, "save", counted)
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    kept = {r["doc_id"] for r in line_dedup.dedupe_lines(docs).collect()}
+    assert kept == set(range(200)) and len(made) == 2 and sum(made) < 20
+
+
+def test_tables_of_a_run_go(spark, monkeypatch):
+    """Of what a run has saved only the table is left that its result reads."""
+    runs = []
+
+    class Kept(Scratch):
+        def __init__(self, *args):
+            super().__init__(*args)
+            runs.append(self)
+
+    for module in (line_dedup, jaccard):
+        monkeypatch.setattr(module, "Scratch", Kept)
+    words = " ".join(f"word{n}" for n in range(30))
+    docs = spark.createDataFrame([(1, words), (2, f"{words} more"), (3, "own line of it")], "doc_id long, text string")
+    for result in (line_dedup.dedupe_lines(docs), jaccard.keep_one_per_group(docs)):
+        assert {r["doc_id"] for r in result.collect()} == {1, 3}
+    assert [len(run._paths) for run in runs] == [1, 1]
+
+
 def test_lines_run_no_python(spark):
     docs = spark.createDataFrame([(1, "alpha beta gamma\nx"), (2, "alpha beta gamma")], "doc_id long, text string")
     plan = line_dedup.dedupe_lines(docs)._jdf.queryExecution().executedPlan().toString()
