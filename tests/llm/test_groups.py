@@ -213,6 +213,32 @@ def test_documents_of_equal_and_unknown_ids(spark):
     assert jaccard.similar_documents(frame.limit(0)).collect() == []
 
 
+def test_documents_that_share_half_make_no_pairs(spark, monkeypatch):
+    """All pairs of a dozen passages: each document shares half with twenty others, and is similar to one only."""
+    made = []
+    verified = jaccard._Join.verified
+    monkeypatch.setattr(jaccard._Join, "verified", lambda join, pairs: (made.append(pairs.count()), verified(join, pairs))[1])
+    passages = [" ".join(f"p{n}w{i}" for i in range(60)) for n in range(12)]
+    texts = [f"{passages[i]} {passages[j]}" for i in range(12) for j in range(i)]
+    texts += [f"{text} tail" for text in texts]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.similar_documents(frame).collect()}
+    sets, links = _brute_documents(texts)
+    assert got == components(range(len(texts)), links)
+    # The last ones are pairs of different groups under a shingle.
+    assert made[-1] == 0
+
+
+def test_parities_differ_in_no_more_places_than_sets():
+    rng = np.random.default_rng(12)
+    for size in (1, 40, 500, 3000):
+        x = np.unique(rng.integers(0, 1 << 62, size))
+        for kept in (0, size // 2, size - 1):
+            y = np.unique(np.append(x[:kept], rng.integers(0, 1 << 62, rng.integers(1, size + 1))))
+            differ = sum(((p ^ q) & 0xFFFFFFFFFFFFFFFF).bit_count() for p, q in zip(jaccard._parities(x), jaccard._parities(y)))
+            assert differ <= len(np.setxor1d(x, y))
+
+
 # --- lines ---------------------------------------------------------------------------------------------------
 
 
