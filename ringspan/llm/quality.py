@@ -330,15 +330,19 @@ def keep_quality(
 ) -> DataFrame:
     """The rows of ``docs`` that score ``threshold`` or more, with their columns as they are."""
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col, text_col, label_col, sample))
-    # The whole row travels as one value, so no column name can clash.
+    # The whole row travels as one value, so no column name can clash; a text goes in it and not once more beside it,
+    # which would double the batches that Spark and Python hold at the same time.
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    rows = docs.select(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"), whole)
+    inside = text_col in docs.columns and docs.schema[text_col].dataType.typeName() == "string"
+    place = docs.columns.index(text_col) if inside else None
+    rows = docs.select(whole, *([] if inside else [F.col(f"`{text_col}`").cast("string").alias("text")]))
 
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, 2 << 20):
-            scores = shared.value.score(batch.column("text"))
-            kept = pa.RecordBatch.from_arrays(batch.column("row").flatten(), names=docs_columns)
-            yield kept.filter(pa.array(scores >= threshold))
+        for batch in small_batches(batches, 1 << 20 if inside else 2 << 20):
+            columns = batch.column("row").flatten()
+            texts = columns[place] if inside else batch.column("text")
+            scores = shared.value.score(texts.fill_null(""))
+            yield pa.RecordBatch.from_arrays(columns, names=docs_columns).filter(pa.array(scores >= threshold))
 
     docs_columns = docs.columns
     return rows.mapInArrow(keep, docs.schema)

@@ -81,6 +81,18 @@ def test_keep_quality(spark):
     assert {r["doc_id"] for r in kept.collect()} == {d for d, p in scored if p}
 
 
+def test_keep_quality_sends_a_text_once(spark):
+    """Beside its row a text would double the batches in the executors' memory; texts that are no strings are cast."""
+    rows, docs, labels = _corpus(spark)
+    kept = quality.keep_quality(docs, labels)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "row#" in plan and "text#" not in plan.split("MapInArrow keep(")[1].split(")")[0]
+    raw = docs.withColumn("text", docs["text"].cast("binary"))
+    found = quality.keep_quality(raw, labels)
+    assert found.schema == raw.schema
+    assert sorted(str(r["doc_id"]) for r in found.collect()) == sorted(str(r["doc_id"]) for r in kept.collect())
+
+
 def test_scores_of_the_table(spark):
     got = QUERIES["op10_quality"](spark, DATA).where("held_out").select("doc_id", "predicted")
     labels = spark.read.parquet(f"{DATA}/labels.parquet")
