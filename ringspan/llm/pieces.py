@@ -37,8 +37,8 @@ KEEP_WORDS = 300_000
 KEEP_CHARS = 60
 # Words of up to so many characters are relaxed side by side.
 _IN_STEP = 200
-# Characters indexed at once.
-INDEX_CHARS = 1 << 20
+# Characters indexed at once; an index takes about 340 bytes for each.
+INDEX_CHARS = 1 << 18
 _NEVER = np.iinfo(np.int32).max
 _KNOWN_CHARS = 0x110000
 
@@ -485,7 +485,7 @@ def encode_pieces(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(model)
-        for batch in small_batches(batches, 2 << 20):
+        for batch in small_batches(batches, 1 << 20):
             texts = batch.column("text").to_pylist()
             ids = coder.encode(texts)
             intact = [coder.vocabulary.decode(i) == text.replace(MARK, " ") for i, text in zip(ids, texts)]

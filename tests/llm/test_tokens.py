@@ -174,6 +174,16 @@ def test_pieces_of_long_words_and_forgetting(monkeypatch):
             assert coder.encode([text])[0].tolist() == MODEL.encode(text)
 
 
+def test_pieces_are_indexed_in_parts(monkeypatch):
+    """What an index takes is bounded, however many new words a batch has."""
+    sizes = []
+    edges = pieces.Index.edges
+    monkeypatch.setattr(pieces.Index, "edges", lambda index, codes: (sizes.append(len(codes)), edges(index, codes))[1])
+    text = " ".join(f"w{n:x}q{n * 7919:x}" for n in range(40_000))
+    assert pieces.Encoder(PIECE_BPE).encode([text])[0].tolist() == MODEL.encode(text)
+    assert sum(sizes) > 1 << 18 and max(sizes) <= 300_000
+
+
 def test_suffix_array():
     codes = np.array([3, 1, 3, 1, 2, 3, 1], np.int32)
     padded = codes.tolist() + [0] * 8
