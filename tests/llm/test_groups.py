@@ -494,6 +494,36 @@ def test_lines_of_other_marks_are_equal(spark):
     assert not kept & {1, 2, 4} and {0, 3, 6} <= kept
 
 
+def test_runs_of_marks_become_one_space(spark):
+    """Against the plain expression, in ASCII and beyond."""
+    random.seed(5)
+    lines = ["".join(random.choices(signs, k=random.randint(0, 12))) for signs in ("ab1  .-\t", "aé日 \u00a0 –.1") for _ in range(300)]
+    frame = spark.createDataFrame([(lines,)], "lines array<string>")
+    plain = F.transform("lines", lambda line: F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " ")))
+    row = frame.select(line_dedup.normalised(frame["lines"]).alias("got"), plain.alias("want")).first()
+    assert row["got"] == row["want"]
+
+
+def test_letters_bound_the_edit_distance(spark):
+    """The surplus of letters is never above the distance, so no similar line is passed over, and it does pass over some."""
+    random.seed(6)
+    rows = []
+    for signs in ("ab ", "abcdefgh xyz1", "aé日 z9"):
+        for _ in range(200):
+            x = random.choices(signs, k=random.randint(1, 30))
+            y = list(x)
+            for _ in range(random.randint(0, 8)):
+                at = random.randrange(len(y) + 1)
+                y[at : at + random.randint(0, 1)] = random.choices(signs, k=random.randint(0, 1))
+            rows.append(("".join(x), "".join(y)))
+    frame = spark.createDataFrame(rows, "x string, y string")
+    frame = frame.withColumns({"p": line_dedup._letters("x"), "q": line_dedup._letters("y")})
+    bounds = [line_dedup._surplus(*sides).alias("".join(sides)) for sides in ("pq", "qp")]
+    got = frame.select(*bounds, F.levenshtein("x", "y").alias("edits"), F.size("p").alias("n")).collect()
+    assert all(max(r["pq"], r["qp"]) <= r["edits"] for r in got) and got[0]["n"] == 28
+    assert sum(max(r["pq"], r["qp"]) == r["edits"] > 0 for r in got) > 50
+
+
 def test_lines_with_words_changed(spark):
     """One word in ten or more, two in ten, and words put in: pairs that share too few bits of their fingerprints."""
     rng = random.Random(21)
