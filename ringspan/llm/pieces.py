@@ -37,7 +37,7 @@ KEEP_WORDS = 300_000
 KEEP_CHARS = 60
 # Words of up to so many characters are relaxed side by side.
 _IN_STEP = 200
-# Characters indexed at once; an index takes about 340 bytes for each.
+# Characters indexed at once; the index and its edges take many bytes for each.
 INDEX_CHARS = 1 << 18
 _NEVER = np.iinfo(np.int32).max
 _KNOWN_CHARS = 0x110000
