@@ -450,6 +450,36 @@ def test_unlike_lines_of_a_common_block_are_no_pairs(spark, monkeypatch):
     assert kept == set(range(200)) and len(made) == 2 and sum(made) < 20
 
 
+def test_lines_that_share_one_block_only(spark):
+    """Every word outside one block has another letter, so no word beside it is shared; elsewhere the block joins nothing."""
+    block = "zzzzzzzzzz yyyyyyyyyy xxxxxxxxxx wwwwwwwwww"
+    words = [f"{c}bcde" for c in "abcdefgh"]
+    other = [f"{word[:-1]}q" for word in words]
+    lines = [" ".join([*some[:4], block, *some[4:]]) for some in (words, other)]
+    lines.append(" ".join([block, *(f"m{c}nop" for c in "abcdefgh")]))
+    assert 0 < _distance(*lines[:2]) <= 0.2 * len(lines[0]) and not _similar(lines[0], lines[2])
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    kept = {r["doc_id"] for r in line_dedup.dedupe_lines(docs).collect()}
+    assert kept == {0, 2}
+
+
+def test_long_lines_with_edits_all_over(spark):
+    """Lines that are cut into pieces: edits in few and in too many places, and words put in that shift the pieces."""
+    rng = random.Random(31)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6))
+    base = [word() for _ in range(200)]
+    lines = [base]
+    for share in (0.1, 0.2, 0.35):
+        lines.append([word() if rng.random() < share else w for w in base])
+    lines.append([*base[:20], *(word() for _ in range(25)), *base[20:]])
+    lines = [" ".join(words) for words in lines]
+    near = [_similar(lines[0], line) for line in lines]
+    assert near == [True, True, True, False, True] and not any(_similar(lines[3], line) for line in lines if line != lines[3])
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    kept = {r["doc_id"] for r in line_dedup.dedupe_lines(docs).collect()}
+    assert kept == {0, 3}
+
+
 def test_tables_of_a_run_go(spark, monkeypatch):
     """Of what a run has saved only the table is left that its result reads."""
     runs = []
